@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwake.functions.scalar import signed
@@ -11,16 +11,25 @@ from ledgerwake.operators.windows import last_per_day, running, timeline
 from ledgerwake.schemas import CASH_INFLOWS, CASH_OUTFLOWS
 
 
-def int_daily_prices(stg_prices: DataFrame) -> DataFrame:
-    """Close of each symbol and day. Expects one tick per symbol and instant."""
+def signed_amount() -> Column:
+    return signed(F.col("amount"), F.col("cash_type"), CASH_INFLOWS, CASH_OUTFLOWS)
+
+
+def int_daily_prices(stg_prices: DataFrame, *arrival: str) -> DataFrame:
+    """Close of each symbol and day.
+
+    Without ``arrival`` there has to be one tick per symbol and instant. With it the input
+    may be an unresolved log: of several ticks at one instant the last to arrive counts,
+    which is the price the upsert would have kept, without paying for the upsert.
+    """
     return last_per_day(
-        stg_prices, ["symbol", "price_date"], ["price_timestamp"], "price", "close_price")
+        stg_prices, ["symbol", "price_date"], ["price_timestamp", *arrival],
+        "price", "close_price")
 
 
 def int_cash_balances(stg_cash_events: DataFrame) -> DataFrame:
     """Net cash of each account and day, and the balance it leads to."""
-    amount = signed(F.col("amount"), F.col("cash_type"), CASH_INFLOWS, CASH_OUTFLOWS)
-    daily = agg.daily_change(stg_cash_events, ["account_id", "cash_date"], amount)
+    daily = agg.daily_change(stg_cash_events, ["account_id", "cash_date"], signed_amount())
     balance = running(F.sum, F.col("daily_change"), timeline(["account_id"], "cash_date"))
     return daily.select(
         "account_id", F.col("cash_date").alias("balance_date"), "daily_change",

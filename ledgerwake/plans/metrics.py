@@ -6,31 +6,34 @@ still needs one exchange and one sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerwake.functions.scalar import annualize, pct, rel_change, stamp
 from ledgerwake.operators.windows import compound, previous, rolling, running, timeline
 from ledgerwake.params import Params
 
-LINE = timeline(["account_id"], "value_date")
 DAY = ["account_id", "value_date"]
 
 
+def account_line() -> WindowSpec:
+    return timeline(["account_id"], "value_date")
+
+
 def with_drawdown(values: DataFrame) -> DataFrame:
     """Add the drop from the running peak and the worst drop so far."""
-    peak = running(F.max, F.col("total_value"), LINE)
+    peak = running(F.max, F.col("total_value"), account_line())
     return (
         values.withColumn("peak_value", peak)
         .withColumn("drawdown", rel_change(F.col("total_value"), F.col("peak_value"), 0.0))
-        .withColumn("max_drawdown", running(F.min, F.col("drawdown"), LINE))
+        .withColumn("max_drawdown", running(F.min, F.col("drawdown"), account_line()))
     )
 
 
 def with_return(values: DataFrame) -> DataFrame:
     """Add the return over the account's previous row; its first row goes away."""
     return (
-        values.withColumn("previous_value", previous(F.col("total_value"), LINE))
+        values.withColumn("previous_value", previous(F.col("total_value"), account_line()))
         .filter(F.col("previous_value").isNotNull())
         .withColumn("daily_return", rel_change(F.col("total_value"), F.col("previous_value")))
     )
@@ -38,14 +41,14 @@ def with_return(values: DataFrame) -> DataFrame:
 
 def with_cumulative(returns: DataFrame) -> DataFrame:
     """Add the compounded return. Only defined where the daily return is."""
-    growth = compound(F.col("daily_return"), LINE)
+    growth = compound(F.col("daily_return"), account_line())
     return returns.withColumn(
         "cumulative_return", F.when(F.col("daily_return").isNotNull(), growth))
 
 
 def with_volatility(returns: DataFrame, params: Params) -> DataFrame:
     """Add the rolling sample deviation. A NULL return still takes up a row of the frame."""
-    spread = rolling(F.stddev_samp, F.col("daily_return"), params.volatility_rows, LINE)
+    spread = rolling(F.stddev_samp, F.col("daily_return"), params.volatility_rows, account_line())
     return returns.withColumn("volatility_30d", spread).withColumn(
         "annualized_volatility", annualize(F.col("volatility_30d"), params.trading_days))
 

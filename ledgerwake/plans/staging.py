@@ -24,7 +24,8 @@ def stg_trades(raw_trades: DataFrame) -> DataFrame:
     )
 
 
-def stg_prices(raw_prices: DataFrame) -> DataFrame:
+def stg_prices(raw_prices: DataFrame, *carried: str) -> DataFrame:
+    """``carried`` keeps extra columns, such as the arrival order of an unresolved log."""
     return positive(require(raw_prices, "symbol", "timestamp"), "price").select(
         "symbol",
         "price",
@@ -33,6 +34,7 @@ def stg_prices(raw_prices: DataFrame) -> DataFrame:
         F.coalesce("source", F.lit("unknown")).alias("source"),
         "event_version",
         "ingestion_time",
+        *carried,
     )
 
 

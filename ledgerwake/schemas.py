@@ -6,6 +6,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+STRING, DOUBLE, LONG = T.StringType(), T.DoubleType(), T.LongType()
+INSTANT, ZONED = T.TimestampNTZType(), T.TimestampType()
+
+
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
 # --- fixed values: field names, types and enum members of the data model -----------------
 
 SIDES = ("BUY", "SELL")
@@ -13,38 +21,38 @@ CASH_INFLOWS = ("DEPOSIT", "DIVIDEND", "INTEREST")
 CASH_OUTFLOWS = ("WITHDRAWAL",)
 CASH_TYPES = ("DEPOSIT", "WITHDRAWAL", "DIVIDEND", "INTEREST")
 
-TRADE_MESSAGE = T.StructType.fromDDL(
-    "trade_id string, account_id string, symbol string, side string, quantity double, "
-    "price double, timestamp bigint, event_version string"
+TRADE_MESSAGE = record(
+    trade_id=STRING, account_id=STRING, symbol=STRING, side=STRING, quantity=DOUBLE,
+    price=DOUBLE, timestamp=LONG, event_version=STRING,
 )
-PRICE_MESSAGE = T.StructType.fromDDL(
-    "symbol string, price double, timestamp bigint, source string, event_version string"
+PRICE_MESSAGE = record(
+    symbol=STRING, price=DOUBLE, timestamp=LONG, source=STRING, event_version=STRING,
 )
-CASH_MESSAGE = T.StructType.fromDDL(
-    "event_id string, account_id string, amount double, type string, timestamp bigint, "
-    "description string, event_version string"
+CASH_MESSAGE = record(
+    event_id=STRING, account_id=STRING, amount=DOUBLE, type=STRING, timestamp=LONG,
+    description=STRING, event_version=STRING,
 )
 
-RAW_TRADES_SCHEMA = T.StructType.fromDDL(
-    "trade_id string, account_id string, symbol string, side string, quantity double, "
-    "price double, timestamp timestamp_ntz, event_version string, ingestion_time timestamp"
+RAW_TRADES_SCHEMA = record(
+    trade_id=STRING, account_id=STRING, symbol=STRING, side=STRING, quantity=DOUBLE,
+    price=DOUBLE, timestamp=INSTANT, event_version=STRING, ingestion_time=ZONED,
 )
-RAW_PRICES_SCHEMA = T.StructType.fromDDL(
-    "symbol string, price double, timestamp timestamp_ntz, source string, "
-    "event_version string, ingestion_time timestamp"
+RAW_PRICES_SCHEMA = record(
+    symbol=STRING, price=DOUBLE, timestamp=INSTANT, source=STRING, event_version=STRING,
+    ingestion_time=ZONED,
 )
-RAW_CASH_SCHEMA = T.StructType.fromDDL(
-    "event_id string, account_id string, amount double, type string, "
-    "timestamp timestamp_ntz, description string, event_version string, "
-    "ingestion_time timestamp"
+RAW_CASH_SCHEMA = record(
+    event_id=STRING, account_id=STRING, amount=DOUBLE, type=STRING, timestamp=INSTANT,
+    description=STRING, event_version=STRING, ingestion_time=ZONED,
 )
 
 # --- end of fixed values -----------------------------------------------------------------
 
 # What the broker hands over for one message. Partition and offset give every message a
 # unique position, which is what orders an upsert and what identifies a broken message.
-ENVELOPE = T.StructType.fromDDL(
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+ENVELOPE = record(
+    key=T.BinaryType(), value=T.BinaryType(), topic=STRING, partition=T.IntegerType(),
+    offset=LONG, timestamp=ZONED,
 )
 
 

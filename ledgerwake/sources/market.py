@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerwake.schemas import RAW_CASH_EVENTS, RAW_TRADES
+from ledgerwake.functions.scalar import to_millis
+from ledgerwake.operators.writes import resolve_upserts
+from ledgerwake.schemas import RAW_CASH_EVENTS, RAW_PRICES, RAW_TRADES
 from ledgerwake.sources.raw import as_raw, with_defaults
 
 VERSION = "1.0"
+BROKER_EPOCH_MILLIS = 1_704_067_200_000  # 2024-01-01
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +31,20 @@ def _line_id() -> Column:
     return F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def _position() -> list[Column]:
+    """Broker position of a line item: a millisecond per order, a partition per line.
+
+    The shipping day goes into the microseconds and tells apart items that share all keys.
+    """
+    day = F.pmod(F.unix_date(F.col("l_shipdate").cast("date")), F.lit(1000))
+    arrived = F.timestamp_millis(BROKER_EPOCH_MILLIS + F.col("l_orderkey"))
+    return [
+        (arrived + day * F.expr("INTERVAL '0.000001' SECOND")).alias("arrived_at"),
+        F.col("l_linenumber").alias("partition"),
+        (F.col("l_partkey") * 2**31 + F.col("l_suppkey")).alias("offset"),
+    ]
+
+
 def _traded_at() -> Column:
     offset = F.col("l_linenumber") * 3600 + F.col("l_suppkey") % 3600
     return F.timestamp_add("SECOND", offset.cast("int"), F.col("l_shipdate"))
@@ -55,6 +73,8 @@ def trade_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             _traded_at().alias("timestamp"),
             F.lit(VERSION).alias("event_version"),
             _line_id().alias("seq"),
+            *_position(),
+            "l_tax",
         )
     )
 
@@ -70,6 +90,7 @@ def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") != "O", "sim").alias("source"),
         F.lit(VERSION).alias("event_version"),
         _line_id().alias("seq"),
+        *_position(),
     )
 
 
@@ -89,7 +110,9 @@ def cash_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("timestamp"),
         F.col("o_orderpriority").alias("description"),
         F.lit(VERSION).alias("event_version"),
-        F.col("o_orderkey").alias("seq"),
+        F.timestamp_millis(BROKER_EPOCH_MILLIS + F.col("o_orderkey")).alias("arrived_at"),
+        F.lit(0).alias("partition"),
+        F.col("o_orderkey").alias("offset"),
     )
 
 
@@ -103,4 +126,25 @@ def raw_cash_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_price_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ticks, superseded ones too, in the raw layout plus ``seq``."""
-    return with_defaults(price_feed(spark, sf_dir))
+    return with_defaults(price_feed(spark, sf_dir)).select(*RAW_PRICES.columns, "seq")
+
+
+def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks after the upsert: newest price, first source, one row per symbol and instant."""
+    log = raw_price_log(spark, sf_dir)
+    resolved = resolve_upserts(log, RAW_PRICES.key, ["seq"], ["price"])
+    return resolved.select(*RAW_PRICES.columns)
+
+
+def messages(feed: DataFrame, message: T.StructType, key: str) -> DataFrame:
+    """A feed as the broker envelopes its producer would have sent."""
+    body = F.struct(*[
+        F.col(field.name) if field.name != "timestamp"
+        else to_millis(F.col("timestamp")).alias("timestamp") for field in message])
+    return feed.select(
+        F.encode(key, "UTF-8").alias("key"),
+        F.encode(F.to_json(body), "UTF-8").alias("value"),
+        F.lit(None).cast("string").alias("topic"),
+        "partition", "offset",
+        F.col("arrived_at").alias("timestamp"),
+    )

@@ -92,32 +92,34 @@ def _once_per_batch(
 ) -> DataFrame:
     """Result of a micro-batch, computed once even if the batch is replayed.
 
-    The marker is written after the result. A replay that finds it publishes the stored
-    result again instead of merging into a table it may have half replaced.
+    The marker is written after the result. A replay that finds its epoch in it publishes
+    the stored result again instead of merging into a table it may have half replaced. Two
+    slots take turns, so old results do not pile up.
     """
-    result, marker = f"{root}/_pending/epoch={epoch}", f"{root}/_pending/done={epoch}"
-    if _stored(spark, marker) is None:
+    result, marker = (f"{root}/_pending/{kind}={epoch % 2}" for kind in ("result", "done"))
+    done = _stored(spark, marker)
+    if done is None or done.filter(F.col("id") == epoch).isEmpty():
         compute().write.mode("overwrite").parquet(result)
-        spark.range(1).write.mode("overwrite").parquet(marker)
+        spark.range(epoch, epoch + 1).write.mode("overwrite").parquet(marker)
     return spark.read.parquet(result)
 
 
-def _merge_days(
+def _merge_parts(
     stored: DataFrame | None, arrived: DataFrame, table: RawTable, overwritten: tuple[str, ...]
 ) -> DataFrame:
-    """All rows of the days in ``arrived``, upserted."""
+    """All rows of the table parts that ``arrived`` touches, upserted."""
     log = arrived
     if stored is not None:
         # Two values reach the driver: the range prunes folders at planning time, the
-        # semi join then keeps exactly the days that change.
-        first, last = arrived.agg(F.min("event_day"), F.max("event_day")).first()
-        days = arrived.select("event_day").distinct()
-        kept = stored.filter(F.col("event_day").between(first, last)).join(
-            days, on="event_day", how="left_semi")
+        # semi join then keeps exactly the parts that change.
+        first, last = arrived.agg(F.min("event_part"), F.max("event_part")).first()
+        parts = arrived.select("event_part").distinct()
+        kept = stored.filter(F.col("event_part").between(first, last)).join(
+            parts, on="event_part", how="left_semi")
         log = kept.withColumn("_arrival", F.lit(0)).unionByName(
             arrived, allowMissingColumns=True)
     return resolve_upserts(
-        log, [*table.key, "event_day"],
+        log, [*table.key, "event_part"],
         ["_arrival", "kafka_timestamp", *POSITION], overwritten)
 
 
@@ -151,23 +153,25 @@ def _per_batch(
 
 def start_upsert(
     spark: SparkSession, feed: Feed, source: dict, path: str, checkpoint: str,
-    overwritten: tuple[str, ...] = ("price",), trigger: dict = EVERY_10_SECONDS,
+    overwritten: tuple[str, ...] = ("price",), grain: str = "day",
+    trigger: dict = EVERY_10_SECONDS,
 ) -> StreamingQuery:
     """Keep a table unique on its key: newest ``overwritten`` columns, oldest others.
 
-    The table under ``path/data`` is partitioned by event day. Only the days a batch
-    touches are read and replaced.
+    The table under ``path/data`` is partitioned by event ``grain`` (day, week, month...).
+    Only the parts a batch touches are read and replaced: days suit a live feed, a coarser
+    grain suits the replay of a long history.
     """
     target = f"{path}/data"
+    part = F.date_trunc(grain, F.col("timestamp").cast("timestamp_ntz")).cast("date")
 
     def write(good: DataFrame, epoch: int) -> None:
-        arrived = good.withColumn("event_day", F.col("timestamp").cast("date")) \
-            .withColumn("_arrival", F.lit(1))
+        arrived = good.withColumn("event_part", part).withColumn("_arrival", F.lit(1))
         merged = _once_per_batch(
             spark, path,
-            lambda: _merge_days(_stored(spark, target), arrived, feed.table, overwritten),
+            lambda: _merge_parts(_stored(spark, target), arrived, feed.table, overwritten),
             epoch)
-        _replace_parts(merged, target, "event_day")
+        _replace_parts(merged, target, "event_part")
 
     return _per_batch(spark, feed, source, path, checkpoint, trigger, write)
 
