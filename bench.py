@@ -22,7 +22,7 @@ HEADLINE = [
     "fact_trades", "fact_positions_daily", "fact_portfolio_value_daily", "fact_pnl_daily",
     "daily_returns", "cumulative_returns", "drawdown", "rolling_volatility",
     "value_history", "holdings", "returns_report", "risk_summary",
-    "qc_unique", "price_upsert", "keyed_insert_accepted", "keyed_insert_rejected",
+    "qc_unique", "price_upsert", "keyed_insert_accepted", "keyed_insert_rejected", "row_counts",
     "qc_summary", "stream_replay_trades", "stream_dedup", "stream_keyed_insert",
 ]
 ONCE = {"qc_summary", "stream_replay_trades", "stream_dedup", "stream_keyed_insert"}

@@ -437,7 +437,7 @@ def _keyed_insert(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     stored = quality.holds(market.raw_trades(spark, sf_dir), "side <> upper(side)")
     return writes.insert_new(
         stored, _delivered_twice(spark, sf_dir), RAW_TRADES.key,
-        ["delivery", "seq", "timestamp", "price"])
+        ["delivery", "arrived_at", *feeds.POSITION])
 
 
 @query()
@@ -468,7 +468,7 @@ def row_counts(spark, sf_dir):
 @query()
 def decode_json_batch(spark, sf_dir):
     """The JSON properties of the event log, sent through the message decoder."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    events = market.table(spark, sf_dir, "events").select(
         F.encode("props", "UTF-8").alias("value"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
@@ -480,7 +480,7 @@ def decode_json_batch(spark, sf_dir):
 @query()
 def millis_to_timestamp(spark, sf_dir):
     millis = to_millis(F.col("ts"))
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return market.table(spark, sf_dir, "events").select(
         "event_id", millis.alias("millis"), from_millis(millis).alias("ts_millis"))
 
 
@@ -491,8 +491,13 @@ def _recorded(messages: DataFrame, name: str) -> dict:
     return {"fmt": "parquet", "path": path}
 
 
+def _spread(feed: DataFrame) -> DataFrame:
+    """Producers work in parallel, whatever the layout of the table behind them."""
+    return feed.repartition(*feeds.POSITION)
+
+
 def _trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spelled = market.trade_feed(spark, sf_dir).withColumn("side", F.upper("side"))
+    spelled = _spread(market.trade_feed(spark, sf_dir)).withColumn("side", F.upper("side"))
     return market.messages(spelled, feeds.FEEDS["trades"].message, "account_id")
 
 
@@ -516,7 +521,8 @@ def stream_replay_trades(spark, sf_dir):
 def stream_replay_prices(spark, sf_dir):
     """Ticks streamed into the upserted table."""
     feed = feeds.FEEDS["prices"]
-    messages = market.messages(market.price_feed(spark, sf_dir), feed.message, "symbol")
+    messages = market.messages(
+        _spread(market.price_feed(spark, sf_dir)), feed.message, "symbol")
     out = scratch_dir(spark, "upserted-prices")
     running = sinks.start_upsert(
         spark, feed, _recorded(messages, "prices"), out,
@@ -527,7 +533,7 @@ def stream_replay_prices(spark, sf_dir):
 
 @query()
 def stream_replay_cash(spark, sf_dir):
-    feed = market.cash_feed(spark, sf_dir).withColumn("type", F.upper("type"))
+    feed = _spread(market.cash_feed(spark, sf_dir)).withColumn("type", F.upper("type"))
     messages = market.messages(feed, feeds.FEEDS["cash"].message, "account_id")
     return sinks.landed(spark, _replayed(spark, "cash", messages), feeds.FEEDS["cash"].table)
 
@@ -557,7 +563,7 @@ def stream_keyed_insert(spark, sf_dir):
 @query()
 def stream_quarantine(spark, sf_dir):
     """Messages refused by the trade feed: cut off in transit, or with a misspelt side."""
-    feed = market.trade_feed(spark, sf_dir)
+    feed = _spread(market.trade_feed(spark, sf_dir))
     sent = market.messages(feed.withColumn("key_", F.when(F.col("l_tax") == 0, "cut")
                                            .otherwise("whole")),
                            feeds.FEEDS["trades"].message, "key_")

@@ -56,8 +56,7 @@ def tag_new(
     """
     position = [*key, *order]
     firsts = batch.groupBy(*key).agg(F.min(F.struct(*order)).alias("_first"))
-    stored = existing.select(*key).join(firsts.select(*key), on=list(key), how="left_semi")
-    winners = firsts.join(stored, on=list(key), how="left_anti").select(
+    winners = firsts.join(existing.select(*key), on=list(key), how="left_anti").select(
         *key, *[F.col(f"_first.{c}").alias(c) for c in order], F.lit(True).alias("_won"))
     return (
         batch.join(winners, on=position, how="left")

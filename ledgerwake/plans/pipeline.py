@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +43,8 @@ LAYERS: dict[str, tuple[str, dict[str, Model]]] = {
         "fact_trades": lambda m: facts.fact_trades(m["stg_trades"]),
         "fact_positions_daily": lambda m: facts.fact_positions_daily(m["int_trade_days"]),
         "fact_portfolio_value_daily": lambda m: facts.fact_portfolio_value_daily(
-            m["fact_positions_daily"], m["int_daily_prices"], m["int_cash_balances"]),
+            facts.positions(m["int_trade_days"]), m["int_daily_prices"],
+            m["int_cash_balances"]),
         "fact_pnl_daily": lambda m: facts.fact_pnl_daily(
             m["int_trade_days"], m["int_daily_prices"]),
     }),
@@ -129,16 +131,23 @@ def run(
     params: Params = Params(),
     database_prefix: str = "",
     partition_by: Mapping[str, list[str]] | None = None,
+    threads: int = 4,
 ) -> Models:
     """Build every model, layer by layer, and materialize it."""
     models = Models(spark, raw, params)
-    for layer, (how, members) in LAYERS.items():
+
+    def store(layer: str, how: str, name: str) -> DataFrame:
         database = f"{database_prefix}{layer}" if database_prefix else ""
-        for name in members:
-            stored = materialize(
-                models[name], name, how, f"{root}/{layer}", database,
-                (partition_by or {}).get(name, ()))
-            models.replace(name, stored)
+        return materialize(
+            models[name], name, how, f"{root}/{layer}", database,
+            (partition_by or {}).get(name, ()))
+
+    # Tables of a layer depend on earlier layers only, so their jobs can share the cluster.
+    with ThreadPoolExecutor(threads) as pool:
+        for layer, (how, members) in LAYERS.items():
+            stored = pool.map(lambda name: store(layer, how, name), members)
+            for name, df in zip(members, stored):
+                models.replace(name, df)
     return models
 
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-STRING, DOUBLE, LONG = T.StringType(), T.DoubleType(), T.LongType()
+STRING, DOUBLE, LONG, INTEGER = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType()
 INSTANT, ZONED = T.TimestampNTZType(), T.TimestampType()
 
 
@@ -51,7 +51,7 @@ RAW_CASH_SCHEMA = record(
 # What the broker hands over for one message. Partition and offset give every message a
 # unique position, which is what orders an upsert and what identifies a broken message.
 ENVELOPE = record(
-    key=T.BinaryType(), value=T.BinaryType(), topic=STRING, partition=T.IntegerType(),
+    key=T.BinaryType(), value=T.BinaryType(), topic=STRING, partition=INTEGER,
     offset=LONG, timestamp=ZONED,
 )
 

@@ -12,15 +12,39 @@ from pyspark.sql import types as T
 
 from ledgerwake.functions.scalar import to_millis
 from ledgerwake.operators.writes import resolve_upserts
-from ledgerwake.schemas import RAW_CASH_EVENTS, RAW_PRICES, RAW_TRADES
+from ledgerwake.schemas import (
+    DOUBLE,
+    INSTANT,
+    INTEGER,
+    LONG,
+    RAW_CASH_EVENTS,
+    RAW_PRICES,
+    RAW_TRADES,
+    STRING,
+    record,
+)
 from ledgerwake.sources.raw import as_raw, with_defaults
 
 VERSION = "1.0"
 BROKER_EPOCH_MILLIS = 1_704_067_200_000  # 2024-01-01
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared, so that opening a table does not start a job to read a file footer.
+TABLES = {
+    "lineitem": record(
+        l_orderkey=LONG, l_partkey=LONG, l_suppkey=LONG, l_linenumber=INTEGER,
+        l_quantity=DOUBLE, l_discount=DOUBLE, l_tax=DOUBLE, l_returnflag=STRING,
+        l_linestatus=STRING, l_shipdate=INSTANT),
+    "orders": record(
+        o_orderkey=LONG, o_custkey=LONG, o_totalprice=DOUBLE, o_orderdate=INSTANT,
+        o_orderpriority=STRING),
+    "part": record(p_partkey=LONG, p_type=STRING, p_retailprice=DOUBLE),
+    "events": record(event_id=LONG, ts=INSTANT, props=STRING),
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _account() -> Column:
@@ -56,9 +80,9 @@ def _unit_price() -> Column:
 
 def trade_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades as they arrive: raw columns plus the ``seq`` that orders arrival."""
-    lines = _table(spark, sf_dir, "lineitem")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    lines = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders")
+    parts = table(spark, sf_dir, "part")
     side = F.when(F.col("l_returnflag") == "R", "sell").otherwise("buy")
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -81,8 +105,8 @@ def trade_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks before the upsert, with ``seq`` as their arrival order."""
-    lines = _table(spark, sf_dir, "lineitem")
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_retailprice")
+    lines = table(spark, sf_dir, "lineitem")
+    parts = table(spark, sf_dir, "part")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_type").alias("symbol"),
         _unit_price().alias("price"),
@@ -102,7 +126,7 @@ def cash_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "INTEREST")
         .otherwise("DEPOSIT")
     )
-    return _table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("CASH_"), F.col("o_orderkey")).alias("event_id"),
         _account().alias("account_id"),
         F.col("o_totalprice").alias("amount"),

@@ -189,8 +189,11 @@ def start_keyed_insert(
 
     def write(good: DataFrame, epoch: int) -> None:
         stored = _stored(spark, target)
+        key = list(feed.table.key)
+        # Only the stored keys a batch brings again matter. The batch is the small side.
         known = good.limit(0) if stored is None else stored.filter(
-            (F.col("epoch") < epoch) & (F.col("verdict") == OK))
+            (F.col("epoch") < epoch) & (F.col("verdict") == OK)
+        ).select(*key).join(good.select(*key), on=key, how="left_semi")
         tagged = tag_new(known, good, feed.table.key, ["kafka_timestamp", *POSITION])
         verdict = F.when(F.col("is_new"), OK).otherwise(BAD)
         _replace_parts(
