@@ -528,7 +528,7 @@ def stream_replay_prices(spark, sf_dir):
         spark, feed, _recorded(messages, "prices"), out,
         scratch_dir(spark, "checkpoint-prices"), grain="month", trigger=sinks.ONCE)
     running.awaitTermination()
-    return spark.read.parquet(f"{out}/data").select(*feed.table.columns)
+    return spark.read.parquet(out).select(*feed.table.columns)
 
 
 @query()
@@ -557,7 +557,7 @@ def stream_keyed_insert(spark, sf_dir):
         spark, feeds.FEEDS["trades"], _recorded(once.unionByName(again), "trades"), out,
         scratch_dir(spark, "checkpoint-trades"), trigger=sinks.ONCE)
     running.awaitTermination()
-    return spark.read.parquet(f"{out}/data").select("trade_id", "timestamp", "verdict")
+    return spark.read.parquet(out).select("trade_id", "timestamp", "verdict")
 
 
 @query()

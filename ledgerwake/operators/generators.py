@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 def spine_between(bounds: DataFrame, start: str, end: str) -> DataFrame:
     """Every day from ``start`` up to, not including, ``end`` for each row of ``bounds``."""
-    days = F.sequence(F.col(start), F.date_sub(F.col(end), 1), F.expr("INTERVAL 1 DAY"))
+    # An empty span is filtered out, but the optimizer may evaluate its sequence first.
+    last = F.greatest(F.col(start), F.date_sub(F.col(end), 1))
+    days = F.sequence(F.col(start), last, F.expr("INTERVAL 1 DAY"))
     return bounds.filter(F.col(start) < F.col(end)).select(F.explode(days).alias("date_day"))
 
 

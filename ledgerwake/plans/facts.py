@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwake.functions.scalar import stamp
@@ -74,23 +74,29 @@ def fact_pnl_daily(trade_days: DataFrame, closes: DataFrame) -> DataFrame:
 
     Sales and open positions come from the same account-symbol-day rows, so their full
     outer join needs no join: a row is a sale, an open priced position, or both. The
-    symbol belongs to the open position and is NULL for a pure sale. Accounts are NOT NULL
-    in the landing table; a row without one would stay one row here.
+    symbol belongs to the open position and is NULL for a pure sale. A NULL account
+    matches nothing in a join, so there a row that is both comes out as two.
     """
     priced = closes.select(
         "symbol", F.col("price_date").alias("position_date"), F.lit(True).alias("priced"))
     joined = positions(trade_days).join(priced, on=["symbol", "position_date"], how="left")
     sold = F.col("sell_quantity") > 0
     held = (F.col("cumulative_position") != 0) & F.col("priced").isNotNull()
+    apart = F.col("account_id").isNull() & sold & held
     gain = F.when(sold, F.coalesce(realized_gain(), F.lit(0.0))).otherwise(0.0)
-    return stamp(
-        joined.filter(sold | held).select(
+
+    def merged(symbol: Column, realized: Column) -> Column:
+        return F.struct(
             "account_id",
             F.col("position_date").alias("pnl_date"),
-            F.when(held, F.col("symbol")).alias("symbol"),
-            gain.alias("realized_pnl"),
+            symbol.alias("symbol"),
+            realized.alias("realized_pnl"),
             F.lit(0).alias("unrealized_pnl"),
-            gain.alias("total_pnl"),
-        ),
-        "calculated_at",
-    )
+            realized.alias("total_pnl"),
+        )
+
+    no_symbol = F.lit(None).cast("string")
+    rows = F.when(
+        apart, F.array(merged(no_symbol, gain), merged(F.col("symbol"), F.lit(0.0)))
+    ).otherwise(F.array(merged(F.when(held, F.col("symbol")), gain)))
+    return stamp(joined.filter(sold | held).select(F.inline(rows)), "calculated_at")

@@ -15,15 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+# Stand-in folder of each application that names none.
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="ledgerwake-")
-    spark.conf.set(SETTING, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="ledgerwake-")
+    return _local_roots[app]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -2,30 +2,29 @@
 
 Appends use the native file sink, which commits each micro-batch exactly once together
 with the checkpoint. ``foreachBatch`` is kept for the writes that must look at what is
-already stored. Nothing is ever collected to the driver.
+already stored. No rows are ever collected to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwake.operators.writes import resolve_upserts, tag_new, tag_violations
 from ledgerwake.schemas import RawTable
+from ledgerwake.sources.raw import BAD, OK, accepted_rows, stored
 from ledgerwake.streaming.feeds import POSITION, Feed, decode_json, dedup_stream, read_events
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 ONCE = {"availableNow": True}
-OK, BAD = "ok", "bad"
 
 
 def landed(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
-    """Accepted rows of a landing folder. The verdict is a folder, so bad ones are pruned."""
-    return spark.read.parquet(path).filter(F.col("verdict") == OK).select(*table.columns)
+    """Accepted rows of a landing folder."""
+    return accepted_rows(spark.read.parquet(path), table)
 
 
 def quarantined(spark: SparkSession, path: str) -> DataFrame:
@@ -71,16 +70,6 @@ def start_feed(
     return append_sink(judged, path, checkpoint, trigger, ("verdict",))
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before the first write."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def _replace_parts(df: DataFrame, path: str, *columns: str) -> None:
     """Overwrite just the partitions ``df`` holds rows for; hot ones are split on the way."""
     (df.hint("rebalance", *columns).write.mode("overwrite")
@@ -97,7 +86,7 @@ def _once_per_batch(
     slots take turns, so old results do not pile up.
     """
     result, marker = (f"{root}/_pending/{kind}={epoch % 2}" for kind in ("result", "done"))
-    done = _stored(spark, marker)
+    done = stored(spark, marker)
     if done is None or done.filter(F.col("id") == epoch).isEmpty():
         compute().write.mode("overwrite").parquet(result)
         spark.range(epoch, epoch + 1).write.mode("overwrite").parquet(marker)
@@ -105,16 +94,16 @@ def _once_per_batch(
 
 
 def _merge_parts(
-    stored: DataFrame | None, arrived: DataFrame, table: RawTable, overwritten: tuple[str, ...]
+    existing: DataFrame | None, arrived: DataFrame, table: RawTable, overwritten: tuple[str, ...]
 ) -> DataFrame:
     """All rows of the table parts that ``arrived`` touches, upserted."""
     log = arrived
-    if stored is not None:
+    if existing is not None:
         # Two values reach the driver: the range prunes folders at planning time, the
         # semi join then keeps exactly the parts that change.
         first, last = arrived.agg(F.min("event_part"), F.max("event_part")).first()
         parts = arrived.select("event_part").distinct()
-        kept = stored.filter(F.col("event_part").between(first, last)).join(
+        kept = existing.filter(F.col("event_part").between(first, last)).join(
             parts, on="event_part", how="left_semi")
         log = kept.withColumn("_arrival", F.lit(0)).unionByName(
             arrived, allowMissingColumns=True)
@@ -127,18 +116,21 @@ def _per_batch(
     spark: SparkSession, feed: Feed, source: dict, path: str, checkpoint: str, trigger: dict,
     write_good: Callable[[DataFrame, int], None],
 ) -> StreamingQuery:
-    """Query whose good rows go through ``write_good`` and whose bad rows are set aside."""
+    """Query whose good rows go through ``write_good``; bad ones go to ``_quarantine``.
+
+    Folders with a leading underscore are invisible to readers of the table around them.
+    """
     rows = feed.conform(decode_json(read_events(spark, feed.topic, **source), feed.message))
 
     def write(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
         batch = batch.persist()
         try:
+            if batch.isEmpty():
+                return
             bad = batch.filter(F.col("violation").isNotNull()).select(
                 *POSITION, "kafka_timestamp", "payload", "violation",
                 F.lit(epoch).cast("bigint").alias("epoch"))
-            _replace_parts(bad, f"{path}/quarantine", "epoch")
+            _replace_parts(bad, f"{path}/_quarantine", "epoch")
             good = batch.filter(F.col("violation").isNull())
             if not good.isEmpty():
                 write_good(good.drop("violation", "payload"), epoch)
@@ -158,20 +150,19 @@ def start_upsert(
 ) -> StreamingQuery:
     """Keep a table unique on its key: newest ``overwritten`` columns, oldest others.
 
-    The table under ``path/data`` is partitioned by event ``grain`` (day, week, month...).
+    The table at ``path`` is partitioned by event ``grain`` (day, week, month...).
     Only the parts a batch touches are read and replaced: days suit a live feed, a coarser
     grain suits the replay of a long history.
     """
-    target = f"{path}/data"
     part = F.date_trunc(grain, F.col("timestamp").cast("timestamp_ntz")).cast("date")
 
     def write(good: DataFrame, epoch: int) -> None:
         arrived = good.withColumn("event_part", part).withColumn("_arrival", F.lit(1))
         merged = _once_per_batch(
             spark, path,
-            lambda: _merge_parts(_stored(spark, target), arrived, feed.table, overwritten),
+            lambda: _merge_parts(stored(spark, path), arrived, feed.table, overwritten),
             epoch)
-        _replace_parts(merged, target, "event_part")
+        _replace_parts(merged, path, "event_part")
 
     return _per_batch(spark, feed, source, path, checkpoint, trigger, write)
 
@@ -182,16 +173,15 @@ def start_keyed_insert(
 ) -> StreamingQuery:
     """Append rows with a new key, exactly; duplicates of any age land as ``bad``.
 
-    Both go to ``path/data``, in folders per batch and verdict. A replayed batch ignores
+    Both go to ``path``, in folders per batch and verdict. A replayed batch ignores
     and overwrites its own folder.
     """
-    target = f"{path}/data"
 
     def write(good: DataFrame, epoch: int) -> None:
-        stored = _stored(spark, target)
+        earlier = stored(spark, path)
         key = list(feed.table.key)
         # Only the stored keys a batch brings again matter. The batch is the small side.
-        known = good.limit(0) if stored is None else stored.filter(
+        known = good.limit(0) if earlier is None else earlier.filter(
             (F.col("epoch") < epoch) & (F.col("verdict") == OK)
         ).select(*key).join(good.select(*key), on=key, how="left_semi")
         tagged = tag_new(known, good, feed.table.key, ["kafka_timestamp", *POSITION])
@@ -199,7 +189,7 @@ def start_keyed_insert(
         _replace_parts(
             tagged.withColumn("verdict", verdict).drop("is_new")
             .withColumn("epoch", F.lit(epoch).cast("bigint")),
-            target, "epoch", "verdict")
+            path, "epoch", "verdict")
 
     return _per_batch(spark, feed, source, path, checkpoint, trigger, write)
 
