@@ -58,9 +58,15 @@ def from_millis(millis: Column) -> Column:
 
 
 def to_millis(moment: Column) -> Column:
-    """Inverse of :func:`from_millis` for a zone-free timestamp."""
-    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
-    return F.timestamp_diff("MILLISECOND", epoch, moment)
+    """Inverse of :func:`from_millis`, rounded down.
+
+    Built from calendar fields, since ``timestamp_diff`` would go through the session zone
+    and move times that its clock skips.
+    """
+    minutes = F.unix_date(moment.cast("date")).cast("bigint") * 1440 \
+        + F.hour(moment) * 60 + F.minute(moment)
+    millis = F.floor(F.extract(F.lit("SECOND"), moment) * 1000).cast("bigint")
+    return minutes * 60_000 + millis
 
 
 def stamp(df: DataFrame, name: str) -> DataFrame:

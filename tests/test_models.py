@@ -255,11 +255,13 @@ def test_millis_round_trip_in_any_session_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        df = spark.createDataFrame([(1704067200123,), (-1,), (2**62,), (None,)], "ms bigint")
+        df = spark.createDataFrame([(1704067200123,), (1710037800000,), (-1,), (2**62,), (None,)], "ms bigint")
         got = df.select(scalar.from_millis(F.col("ms")).alias("t")).select(
             F.col("t").cast("string"), scalar.to_millis(F.col("t")))
         assert [tuple(r) for r in got.collect()] == [
-            ("2024-01-01 00:00:00.123", 1704067200123), ("1969-12-31 23:59:59.999", -1),
+            ("2024-01-01 00:00:00.123", 1704067200123),
+            # 02:30 on a day New York's clocks skip it.
+            ("2024-03-10 02:30:00", 1710037800000), ("1969-12-31 23:59:59.999", -1),
             (None, None), (None, None)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

@@ -197,3 +197,23 @@ def test_late_events_are_right_after_the_next_build(spark, tmp_path, topic):
     out, _ = land(spark, tmp_path, topic)
     days = intermediate.int_trade_days(staging.stg_trades(sinks.landed(spark, out, RAW_TRADES)))
     assert rows(days, F.col("trade_date").cast("string")) == [("2024-01-01",), ("2024-01-06",)]
+
+
+def test_a_failing_feed_leaves_the_others_running(spark, tmp_path):
+    from ledgerwake.streaming import run
+
+    good, broken = Topic(spark, tmp_path / "good"), Topic(spark, tmp_path / "broken")
+    good.send(trade(1))
+    broken.send(trade(1))
+    # A file that is not Parquet makes only this feed's scan fail.
+    (tmp_path / "broken" / "junk.parquet").write_text("not parquet")
+    queries = {
+        "trades": run.start(spark, ["trades"], good.source, str(tmp_path / "a"), "1 second"),
+        "cash": run.start(spark, ["cash"], broken.source, str(tmp_path / "b"), "1 second"),
+    }
+    assert run.wait(queries["cash"]) == ["cash"]
+    alive = queries["trades"]["trades"]
+    assert alive.isActive
+    alive.processAllAvailable()
+    alive.stop()
+    assert load_raw(spark, str(tmp_path / "a"))["raw_trades"].count() == 1
