@@ -132,8 +132,13 @@ def run(
     database_prefix: str = "",
     partition_by: Mapping[str, list[str]] | None = None,
     threads: int = 4,
+    layers_as: Mapping[str, str] | None = None,
 ) -> Models:
-    """Build every model, layer by layer, and materialize it."""
+    """Build every model, layer by layer, and materialize it.
+
+    ``layers_as`` overrides how a layer is stored. Views live as long as the session; to
+    query the metrics from elsewhere, store them as tables: ``{"metrics": TABLE}``.
+    """
     models = Models(spark, raw, params)
 
     def store(layer: str, how: str, name: str) -> DataFrame:
@@ -144,7 +149,8 @@ def run(
 
     # Tables of a layer depend on earlier layers only, so their jobs can share the cluster.
     with ThreadPoolExecutor(threads) as pool:
-        for layer, (how, members) in LAYERS.items():
+        for layer, (default, members) in LAYERS.items():
+            how = (layers_as or {}).get(layer, default)
             stored = pool.map(lambda name: store(layer, how, name), members)
             for name, df in zip(members, stored):
                 models.replace(name, df)

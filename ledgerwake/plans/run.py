@@ -30,7 +30,8 @@ def main() -> None:
     spark = build_session("ledgerwake-build")
     models = pipeline.run(
         spark, load_raw(spark, args.raw), args.out, Params(args.start, args.end), args.prefix,
-        {"fact_trades": ["trade_date"]} if args.days else None)
+        {"fact_trades": ["trade_date"]} if args.days else None,
+        layers_as={"metrics": pipeline.TABLE})
     # A fixed list of declared checks, one small row each.
     summary = pipeline.check(models).orderBy(F.desc("failures"), "model", "column_name", "kind")
     summary.write.mode("overwrite").parquet(f"{args.out}/check_summary")
