@@ -496,7 +496,7 @@ def _spread(feed: DataFrame) -> DataFrame:
     return feed.repartition(*feeds.POSITION)
 
 
-def _trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelled = _spread(market.trade_feed(spark, sf_dir)).withColumn("side", F.upper("side"))
     return market.messages(spelled, feeds.FEEDS["trades"].message, "account_id")
 
@@ -513,7 +513,7 @@ def _replayed(spark: SparkSession, name: str, messages: DataFrame, **options) ->
 
 @query()
 def stream_replay_trades(spark, sf_dir):
-    out = _replayed(spark, "trades", _trade_messages(spark, sf_dir))
+    out = _replayed(spark, "trades", trade_messages(spark, sf_dir))
     return sinks.landed(spark, out, feeds.FEEDS["trades"].table)
 
 
@@ -541,7 +541,7 @@ def stream_replay_cash(spark, sf_dir):
 @query()
 def stream_dedup(spark, sf_dir):
     """Every trade message delivered twice, landed once."""
-    once = _trade_messages(spark, sf_dir)
+    once = trade_messages(spark, sf_dir)
     again = once.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
     out = _replayed(spark, "trades", once.unionByName(again), dedup_delay="30 days")
     return sinks.landed(spark, out, feeds.FEEDS["trades"].table)
@@ -550,7 +550,7 @@ def stream_dedup(spark, sf_dir):
 @query()
 def stream_keyed_insert(spark, sf_dir):
     """Every trade message delivered twice; the second copies are set aside, not lost."""
-    once = _trade_messages(spark, sf_dir)
+    once = trade_messages(spark, sf_dir)
     again = once.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
     out = scratch_dir(spark, "inserted-trades")
     running = sinks.start_keyed_insert(
