@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerwake.functions.scalar import from_millis, to_millis
 from ledgerwake.operators import aggregates as agg
-from ledgerwake.operators import joins, quality, windows, writes
+from ledgerwake.operators import joins, quality, sets, windows, writes
 from ledgerwake.operators.generators import spine_between
 from ledgerwake.params import Params
 from ledgerwake.plans import dimensions, facts, intermediate, metrics, pipeline, reports, staging
@@ -352,12 +352,12 @@ def compound_return(spark, sf_dir):
 
 @query()
 def key_union_accounts(spark, sf_dir):
-    return agg.key_union("account_id", _trades(spark, sf_dir), _cash(spark, sf_dir))
+    return sets.key_union("account_id", _trades(spark, sf_dir), _cash(spark, sf_dir))
 
 
 @query()
 def key_union_symbols(spark, sf_dir):
-    return agg.key_union(
+    return sets.key_union(
         "symbol", _trades(spark, sf_dir),
         staging.stg_prices(market.raw_price_log(spark, sf_dir)))
 

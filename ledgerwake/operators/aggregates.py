@@ -7,12 +7,12 @@ the map side to one row per day and only then shuffled.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwake.functions.scalar import safe_ratio, signed
+from ledgerwake.operators.sets import union_all
 
 
 def signed_quantity() -> Column:
@@ -68,20 +68,9 @@ def distinct_keys(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def key_union(column: str, *frames: DataFrame) -> DataFrame:
-    """Distinct keys over several inputs.
-
-    The inner distincts are left out: the outer one reduces each branch on the map side
-    already, so a single exchange carries the keys of all inputs.
-    """
-    return reduce(DataFrame.unionByName, [df.select(column) for df in frames]).distinct()
-
-
 def counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table with its row count."""
-    counted = [
+    return union_all(
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+        for name, df in tables.items())

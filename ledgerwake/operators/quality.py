@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwake.operators.sets import union_all
+
 
 @dataclass(frozen=True)
 class Check:
@@ -20,17 +21,28 @@ class Check:
     values: tuple[str, ...] = ()
     rule: str = ""
 
-    def breaks(self) -> Column:
-        """True for a row that fails (row-level kinds only)."""
-        column = F.col(self.column)
+    def breaks(self) -> str:
+        """SQL predicate that is true for a row that fails (row-level kinds only)."""
+        column = f"`{self.column}`"
         if self.kind == "not_null":
-            return column.isNull()
+            return f"{column} IS NULL"
         if self.kind == "accepted_values":
-            return ~column.isin(*self.values)
+            return f"{column} NOT IN ({', '.join(map(_literal, self.values))})"
         if self.kind == "expression_is_true":
-            return ~F.expr(f"`{self.column}` {self.rule}")
+            return f"NOT ({column} {self.rule})"
         raise ValueError(f"not a row-level check: {self.kind}")
 
+    def summary(self, failures: str) -> str:
+        """SQL struct that reports ``failures`` for this check."""
+        return (f"named_struct('model', {_literal(self.model)}, "
+                f"'column_name', {_literal(self.column)}, 'kind', {_literal(self.kind)}, "
+                f"'failures', {failures})")
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
@@ -53,27 +65,21 @@ def holds(df: DataFrame, expression: str) -> DataFrame:
     return df.filter(~F.expr(expression))
 
 
-def _summary_row(check: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("kind"),
-        F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
-    )
-
-
 def _row_level(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row-level checks of one model in a single pass and a one-row result."""
-    totals = df.agg(*[
-        F.count_if(check.breaks()).alias(f"c{i}") for i, check in enumerate(checks)
-    ])
-    rows = F.array(*[_summary_row(check, F.col(f"c{i}")) for i, check in enumerate(checks)])
-    return totals.select(F.inline(rows))
+    """All row-level checks of one model in a single pass and a one-row result.
+
+    SQL text rather than columns: a suite has hundreds of small expressions, and each
+    column object costs a round trip to the JVM.
+    """
+    totals = df.selectExpr(*[
+        f"count_if({check.breaks()}) AS c{i}" for i, check in enumerate(checks)])
+    rows = ", ".join(check.summary(f"c{i}") for i, check in enumerate(checks))
+    return totals.selectExpr(f"inline(array({rows}))")
 
 
 def _unique(df: DataFrame, check: Check) -> DataFrame:
-    repeated = unique(df, [check.column]).agg(F.count(F.lit(1)).alias("n"))
-    return repeated.select(F.inline(F.array(_summary_row(check, F.col("n")))))
+    repeated = unique(df, [check.column]).selectExpr("count(*) AS n")
+    return repeated.selectExpr(f"inline(array({check.summary('n')}))")
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
@@ -89,4 +95,4 @@ def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
         if by_row:
             parts.append(_row_level(models[model], by_row))
         parts.extend(_unique(models[model], check) for check in own if check.kind == "unique")
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)

@@ -15,3 +15,5 @@ class Params:
     trading_days: int = 252
     volatility_rows: int = 30
     report_rows: int = 30
+    # For ratios users build on top; no model reads it.
+    risk_free: float = 0.0

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerwake.functions.scalar import stamp
-from ledgerwake.operators.aggregates import key_union
 from ledgerwake.operators.generators import date_spine
+from ledgerwake.operators.sets import key_union
 from ledgerwake.params import Params
 
 

@@ -13,7 +13,7 @@ from ledgerwake.operators import aggregates as agg
 from ledgerwake.operators import joins
 from ledgerwake.operators.generators import date_spine
 from ledgerwake.params import Params
-from ledgerwake.plans import facts, intermediate, metrics, pipeline, reports, staging
+from ledgerwake.plans import intermediate, metrics, pipeline, reports, staging
 from tests.helpers import at, cash, day, prices, rows, trades
 
 

@@ -29,10 +29,10 @@ def test_each_check_returns_the_failing_rows(spark):
 
 def test_summary_counts_every_kind_and_reports_passes(spark):
     df = spark.createDataFrame(
-        [(1, "a"), (1, "b"), (2, None), (-3, "z")], "id int, tag string")
+        [(1, "a'"), (1, "b\\"), (2, None), (-3, "z")], "id int, tag string")
     checks = [
         Check("m", "id", "not_null"), Check("m", "tag", "not_null"), Check("m", "id", "unique"),
-        Check("m", "tag", "accepted_values", values=("a", "b")),
+        Check("m", "tag", "accepted_values", values=("a'", "b\\")),
         Check("m", "id", "expression_is_true", rule="> 0"),
     ]
     got = run_checks({"m": df}, checks)
