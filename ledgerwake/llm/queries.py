@@ -7,8 +7,9 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerwake.llm import token_files
+from ledgerwake.llm import exact_dedup, language, site_quality, token_files
 from ledgerwake.llm.common import read_table
 from ledgerwake.llm.ship import ship
 
@@ -36,3 +37,40 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_token_files(spark, sf_dir):
     return token_files.token_table(
         spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+@query
+def op2_exact_dedup(spark, sf_dir):
+    return exact_dedup.table(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op2_exact_dedup"] = r"""
+    WITH texts AS (
+        SELECT doc_id, coalesce(text, '') AS t,
+               regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+        FROM documents
+    )
+    SELECT doc_id,
+           first_value(doc_id) OVER best AS keep_id,
+           count(*) OVER (PARTITION BY norm) AS group_size,
+           row_number() OVER best = 1 AS kept,
+           sha256(norm) AS text_sha256
+    FROM texts
+    WINDOW best AS (PARTITION BY norm ORDER BY length(t) DESC, doc_id NULLS LAST)
+"""
+
+
+@query
+def op9_language(spark, sf_dir):
+    return language.table(documents(spark, sf_dir))
+
+
+def site(docs: DataFrame) -> dict:
+    """Host and path of a document: its source, and its language within the source."""
+    return {"host": F.col("source"), "path": F.concat_ws("/", "source", "lang")}
+
+
+@query
+def op10_site_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return site_quality.table(docs, read_table(spark, sf_dir, "labels"), **site(docs))
