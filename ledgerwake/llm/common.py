@@ -37,7 +37,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and go on from the written table."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwake.llm import exact_dedup, language, site_quality, token_files
+from ledgerwake.llm import (
+    exact_dedup,
+    language,
+    secret_scan,
+    site_quality,
+    sketches,
+    token_files,
+)
 from ledgerwake.llm.common import read_table
 from ledgerwake.llm.ship import ship
 
@@ -74,3 +81,15 @@ def site(docs: DataFrame) -> dict:
 def op10_site_quality(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return site_quality.table(docs, read_table(spark, sf_dir, "labels"), **site(docs))
+
+
+@query
+def op5_secret_scan(spark, sf_dir):
+    return secret_scan.scan(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN)
+
+
+@query
+def op8_sketches(spark, sf_dir):
+    return sketches.table(documents(spark, sf_dir))
