@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwake.llm import (
+    bin_packing,
+    domain_mix,
     exact_dedup,
     language,
     secret_scan,
@@ -93,3 +95,25 @@ def op5_secret_scan(spark, sf_dir):
 @query
 def op8_sketches(spark, sf_dir):
     return sketches.table(documents(spark, sf_dir))
+
+
+# Share of all tokens that each language is to have.
+TARGETS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Domains of labelled documents: the language of those that were judged good."""
+    good = labels.filter("quality = 1").select("doc_id").distinct()
+    return docs.join(good, "doc_id", "left_semi").select("doc_id", F.col("lang").alias("domain"))
+
+
+@query
+def op3_domain_mix(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    labelled = labelled_domains(docs, read_table(spark, sf_dir, "labels"))
+    return domain_mix.table(docs, labelled, TARGETS)
+
+
+@query
+def op6_bin_packing(spark, sf_dir):
+    return bin_packing.table(documents(spark, sf_dir))

@@ -35,15 +35,17 @@ from ledgerwake.sources.scratch import scratch_dir
 
 MANIFEST = "part int, stem string, width int, n_docs bigint, n_ids bigint"
 DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part int"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 500_000
 
 
 class Encoder:
     """Whole-text encoding that looks up what it has encoded before.
 
     Byte-level BPE never merges across a space between two visible characters, so a text is
-    cut there and each piece, with its leading space, is encoded by the library once. The
-    cache is emptied when it holds ``CACHE_ENTRIES`` pieces.
+    cut there and each piece, with its leading space, is encoded by the library once. A piece
+    of Latin letters, with or without full stops and commas behind, needs no further cutting
+    and goes straight to the model of the vocabulary. The cache is emptied when it holds
+    ``CACHE_ENTRIES`` pieces.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,12 +56,21 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.direct = self.tokenizer.normalizer is None and "ByteLevel(" in repr(
+            self.tokenizer.pre_tokenizer)
 
     def piece(self, piece: str) -> bytes:
         if len(self.known) >= CACHE_ENTRIES:
             self.known.clear()
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        found = self.known[piece] = np.array(ids, dtype=self.dtype).tobytes()
+        plain = self.direct and _plain.fullmatch(piece)
+        if plain and plain[2]:
+            found = b"".join(self.known.get(x) or self.piece(x) for x in plain.groups())
+        else:
+            ids = ([token.id for token in self.model.tokenize(byte_letters(piece))] if plain
+                   else self.tokenizer.encode(piece, add_special_tokens=False).ids)
+            found = np.array(ids, dtype=self.dtype).tobytes()
+        self.known[piece] = found
         return found
 
     def encode(self, text: str) -> bytes:
@@ -70,6 +81,15 @@ class Encoder:
         return b"".join([known[x] if x in known else piece(x) for x in pieces if x])
 
 
+def byte_letters(text: str) -> str:
+    """The characters by which a byte-level vocabulary writes the bytes of a text."""
+    return text.encode().decode("latin-1").translate(_letters)
+
+
+# Bytes that are no visible Latin-1 character are written as characters from 256 on.
+_hidden = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b > 173)]
+_letters = {b: chr(256 + i) for i, b in enumerate(_hidden)}
+_plain = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[.,]+)([.,]*)")
 _wide_space = re.compile(r"\s\s")
 _inner_space = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[str, Encoder] = {}
