@@ -13,6 +13,7 @@ from ledgerwake.llm import (
     bin_packing,
     domain_mix,
     exact_dedup,
+    jaccard_join,
     language,
     secret_scan,
     site_quality,
@@ -117,3 +118,8 @@ def op3_domain_mix(spark, sf_dir):
 @query
 def op6_bin_packing(spark, sf_dir):
     return bin_packing.table(documents(spark, sf_dir))
+
+
+@query
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.table(documents(spark, sf_dir))
