@@ -18,6 +18,7 @@ from ledgerwake.llm import (
     secret_scan,
     site_quality,
     sketches,
+    substring_dedup,
     token_files,
 )
 from ledgerwake.llm.common import read_table
@@ -123,3 +124,8 @@ def op6_bin_packing(spark, sf_dir):
 @query
 def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.table(documents(spark, sf_dir))
+
+
+@query
+def op4_substring_dedup(spark, sf_dir):
+    return substring_dedup.table(documents(spark, sf_dir))
