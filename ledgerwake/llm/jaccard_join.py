@@ -59,8 +59,8 @@ BLOCK = 2048
 # Largest size the subset method is considered for, and the cost of a list entry in subsets.
 MOST_SUBSETS = 29
 ENTRY_COST = 8
-# Bits of a parity bitmap for sets below a size.
-WIDTHS = ((800, 256), (3000, 1024), (1 << 62, 4096))
+# Bits of a parity bitmap: at least NARROW, else three for each member that may differ.
+NARROW, WIDEST = 256, 1 << 14
 SHORT_RUN = 32
 
 
@@ -83,6 +83,10 @@ class Rule:
         both = a + b
         return both - 2 * -(-self.percent * both // (100 + self.percent))
 
+    def bits(self, n: int) -> int:
+        """Width of the parity bitmap of a set: a power of two."""
+        return min(WIDEST, max(NARROW, 1 << int(3 * self.spread(n, n)).bit_length()))
+
     def links(self, left: np.ndarray, right: np.ndarray) -> bool:
         common = len(np.intersect1d(left, right, assume_unique=True))
         union = len(left) + len(right) - common
@@ -131,9 +135,8 @@ def heavy_order(docs: DataFrame, rule: Rule) -> Order:
     return Order(grams[by_value], np.arange(len(grams), dtype=np.uint64)[by_value])
 
 
-def parity(grams: np.ndarray) -> bytes:
+def parity(grams: np.ndarray, width: int) -> bytes:
     """Bitmap with the parity of the members in each cell."""
-    width = next(w for below, w in WIDTHS if len(grams) < below)
     cells = (grams >> np.uint64(9)).astype(np.int64) & (width - 1)
     return np.packbits(np.bincount(cells, minlength=width) & 1, bitorder="little").tobytes()
 
@@ -157,7 +160,7 @@ def subset_keys(grams: np.ndarray, lacks: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, rule: Rule, order: Order) -> DataFrame:
-    """For each row: set size, digest of the set, prefix and parity bitmap."""
+    """For each row: set size, digest, bitmap and prefix, and all members of a small set."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -166,14 +169,15 @@ def signatures(docs: DataFrame, rule: Rule, order: Order) -> DataFrame:
             yield pd.DataFrame({
                 "row": batch["row"], "doc_id": batch["doc_id"], "n": [len(s) for s in sets],
                 "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
-                "bits": [parity(s) for s in sets],
-                # All members of a set that may be small: its size decides later.
-                "grams": [(s if len(s) <= MOST_SUBSETS else shared.value.first(
-                    s, rule.lacks(len(s)) + 1)).view(np.int64) for s in sets]})
+                "bits": [parity(s, rule.bits(len(s))) for s in sets],
+                "grams": [s[:len(s) if len(s) <= MOST_SUBSETS else 0].view(np.int64)
+                          for s in sets],
+                "prefix": [shared.value.first(s, rule.lacks(len(s)) + 1).view(np.int64)
+                           for s in sets]})
 
     light = docs.select("row", F.col("doc_id").cast("string").alias("doc_id"), "text")
     return light.mapInPandas(sign, "row bigint, doc_id string, n int, digest binary, "
-                                   "bits binary, grams array<bigint>")
+                                   "bits binary, grams array<bigint>, prefix array<bigint>")
 
 
 def boundary(sizes: dict[int, int], rule: Rule) -> int:
@@ -215,7 +219,7 @@ def list_entries(classes: DataFrame, rule: Rule, limit: int) -> DataFrame:
     """
     lowest = -(-rule.percent * (limit + 1) // 100)
     listed = classes.filter((F.col("n") >= lowest) & (F.col("n") > 0))
-    return listed.select("class", F.explode("grams").alias("gram"))
+    return listed.select("class", F.explode("prefix").alias("gram"))
 
 
 def blocks(entries: DataFrame, classes: DataFrame, *extra: str) -> DataFrame:
@@ -277,8 +281,7 @@ class Scan:
     def short(self, rows: pd.DataFrame, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Candidate pairs of all short lists at once; the tree is not worth it here."""
         sizes = rows["n"].to_numpy(dtype=np.int64)
-        narrow = WIDTHS[0][1]
-        words = np.stack([folded(b, narrow) for b in rows["bits"]])
+        words = np.stack([folded(b, NARROW) for b in rows["bits"]])
         part = rows["component"].to_numpy() if self.cross else None
         a, b = [], []
         for step in range(1, SHORT_RUN):
@@ -300,7 +303,7 @@ class Scan:
         keep = np.ones(len(a), dtype=bool)
         for k, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
             width = 8 * min(len(bits[i]), len(bits[j]))
-            if width > WIDTHS[0][1]:
+            if width > NARROW:
                 gap = int(np.bitwise_count(folded(bits[i], width) ^ folded(bits[j], width)).sum())
                 keep[k] = gap <= self.rule.spread(sizes[i], sizes[j])
         return keep
