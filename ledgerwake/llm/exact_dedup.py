@@ -171,7 +171,8 @@ def confirmed(docs: DataFrame, hits: DataFrame, snapshot: DataFrame) -> DataFram
         hits.select("sha", "row").join(
             snapshot.select("sha", F.col("row").alias("other")), "sha"), "pairs")
     wanted = pairs.select("sha", F.explode(F.array("row", "other")).alias("row"))
-    texts = docs.select("row", normalised().alias("norm")).join(wanted, "row")
+    # The hits grow with the batch, so their texts are merged, at any size.
+    texts = docs.select("row", normalised().alias("norm")).join(wanted.hint("merge"), "row")
     equal = texts.groupBy("sha").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
     clash = F.raise_error(F.lit("two texts share a SHA-256 digest"))
     proven = equal.filter(F.when(F.col("low") == F.col("high"), True).otherwise(clash))
