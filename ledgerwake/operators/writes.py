@@ -10,20 +10,29 @@ from pyspark.sql import functions as F
 from ledgerwake.schemas import RawTable
 
 
+def first_arrivals(log: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row of each key that comes first by ``order``; one aggregate with map-side combine."""
+    rest = [c for c in log.columns if c not in key and c not in order]
+    first = log.groupBy(*key).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    return first.select(*key, "_first.*").select(*log.columns)
+
+
 def resolve_upserts(
     log: DataFrame, key: Sequence[str], order: Sequence[str], overwritten: Sequence[str]
 ) -> DataFrame:
     """Collapse a change log to one row per key.
 
     Columns in ``overwritten`` take the value of the newest row, all others keep the value
-    of the oldest one. Both are aggregates with map-side combine, so many versions of one
-    key never meet in a single task.
+    of the oldest one. That is the smallest and the largest of one struct each, combined
+    map-side, so many versions of one key never meet in a single task.
     """
-    moment = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    kept = [c for c in log.columns if c not in key and c not in order]
-    return log.groupBy(*key).agg(*[
-        (F.max_by if c in overwritten else F.min_by)(F.col(c), moment).alias(c) for c in kept
-    ])
+    rest = [c for c in log.columns if c not in key and c not in order]
+    kept = [c for c in rest if c not in overwritten]
+    newest = [c for c in rest if c in overwritten]
+    ends = [F.min(F.struct(*order, *kept)).alias("_first")] if kept else []
+    ends += [F.max(F.struct(*order, *newest)).alias("_last")] if newest else []
+    return log.groupBy(*key).agg(*ends).select(
+        *key, *[F.col(f"_{'last' if c in newest else 'first'}.{c}").alias(c) for c in rest])
 
 
 def upsert_latest(

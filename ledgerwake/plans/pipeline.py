@@ -97,13 +97,15 @@ def materialize(
     root: str = "",
     database: str = "",
     partition_by: Iterable[str] = (),
+    keep_builds: int = 2,
 ) -> DataFrame:
     """Store a model as its layer asks and return the frame later models should read.
 
-    A table is written to a new folder first and the catalog entry is pointed at it last,
-    so readers keep the previous build until the new one is complete. ``partition_by``
-    goes through a rebalance, which splits a hot day and merges small ones before the
-    write.
+    A table is written to a new folder first. Its catalog entry is a view over the folder,
+    replaced in one step at the end, so a reader finds the previous build or the new one,
+    never nothing. The last ``keep_builds`` builds stay, for readers that are still at them.
+    ``partition_by`` goes through a rebalance, which splits a hot day and merges small ones
+    before the write.
     """
     spark = df.sparkSession
     if how == INLINE:
@@ -117,13 +119,23 @@ def materialize(
     writer.parquet(path)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
-        if columns:
-            spark.catalog.recoverPartitions(f"{database}.{name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{path}`")
+    _retire(spark, f"{root}/{name}", keep_builds)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _retire(spark: SparkSession, folder: str, keep: int) -> None:
+    """Delete all complete builds in a model's folder but the newest ``keep``."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(folder)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    builds = [f for f in store.listStatus(where) if f.getPath().getName().startswith("build-")
+              and store.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    builds.sort(key=lambda f: f.getModificationTime(), reverse=True)
+    for old in builds[max(1, keep):]:
+        store.delete(old.getPath(), True)
+
+
 def run(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -133,6 +145,7 @@ def run(
     partition_by: Mapping[str, list[str]] | None = None,
     threads: int = 4,
     layers_as: Mapping[str, str] | None = None,
+    keep_builds: int = 2,
 ) -> Models:
     """Build every model, layer by layer, and materialize it.
 
@@ -145,7 +158,7 @@ def run(
         database = f"{database_prefix}{layer}" if database_prefix else ""
         return materialize(
             models[name], name, how, f"{root}/{layer}", database,
-            (partition_by or {}).get(name, ()))
+            (partition_by or {}).get(name, ()), keep_builds)
 
     # Tables of a layer depend on earlier layers only, so their jobs can share the cluster.
     with ThreadPoolExecutor(threads) as pool:

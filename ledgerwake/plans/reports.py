@@ -13,6 +13,8 @@ from ledgerwake.plans.facts import HOLDING, positions
 from ledgerwake.plans.metrics import DAY, performance
 from ledgerwake.params import Params
 
+EXACT = "decimal(28,6)"
+
 
 def value_history(values: DataFrame, account: str, n: int = 30) -> DataFrame:
     """Newest ``n`` portfolio values of one account."""
@@ -26,13 +28,14 @@ def value_history(values: DataFrame, account: str, n: int = 30) -> DataFrame:
 def holdings(trade_days: DataFrame, closes: DataFrame) -> DataFrame:
     """Open holdings with average cost and unrealized PnL, best first.
 
-    The average cost covers all buys so far and is NULL before the first one.
+    The average cost covers all buys so far and is NULL before the first one. Bought value is
+    added up as decimals, whose sum is the same in every order.
     """
     line = timeline(HOLDING, "position_date")
+    bought = running(F.sum, F.col("buy_value").cast(EXACT), line).cast("double")
     costed = positions(trade_days).withColumn(
         "avg_cost_per_share",
-        safe_ratio(running(F.sum, F.col("buy_value"), line),
-                   running(F.sum, F.col("buy_quantity"), line)))
+        safe_ratio(bought, running(F.sum, F.col("buy_quantity"), line)))
     gain = F.col("cumulative_position") * (F.col("close_price") - F.col("avg_cost_per_share"))
     return (
         mark_to_market(costed, closes)

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ledgerwake.schemas import RAW_TABLES, RawTable
-
-# Folder names a stream sorts rows into; a filter on them prunes whole folders.
-OK, BAD = "ok", "bad"
 
+from ledgerwake.schemas import RAW_PRICES, RAW_TABLES, RawTable
+from ledgerwake.sources import landing
 
 def create_raw_tables(spark: SparkSession, root: str, database: str = "raw") -> None:
     """Declare the landing tables in the catalog, once, for writers that append in batches."""
@@ -24,30 +19,22 @@ def create_raw_tables(spark: SparkSession, root: str, database: str = "raw") ->
             f"USING parquet LOCATION '{root}/{table.name}'")
 
 
-def stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None before the first write."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def accepted_rows(df: DataFrame, table: RawTable) -> DataFrame:
-    """The table's own columns. Where a stream sorted rows by verdict, only the good ones."""
-    good = df.filter(F.col("verdict") == OK) if "verdict" in df.columns else df
-    return good.select(*table.columns)
-
-
 def load_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The landing tables under ``root``, whichever batch or stream wrote them."""
+    """The landing tables under ``root``, whichever batch or stream wrote them.
+
+    A log is resolved to its primary key on the way: prices by upsert, trades and cash by
+    their first arrival. A table that batches wrote is read as it is.
+    """
     loaded = {}
     for name, table in RAW_TABLES.items():
-        found = stored(spark, f"{root}/{name}", table.schema)
+        path = f"{root}/{name}"
+        if landing.runs(spark, path):
+            resolve = landing.upserted if table is RAW_PRICES else landing.unique_rows
+            loaded[name] = resolve(spark, path, table)
+            continue
+        found = landing.stored(spark, path, table.schema)
         loaded[name] = spark.createDataFrame([], table.schema) if found is None \
-            else accepted_rows(found, table)
+            else found.select(*table.columns)
     return loaded
 
 

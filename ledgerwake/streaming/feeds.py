@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from ledgerwake import schemas as S
 from ledgerwake.functions.scalar import from_millis
 from ledgerwake.operators.writes import violation
+from ledgerwake.sources.landing import POSITION
 
 # Columns that travel with a decoded message but belong to no raw table.
-POSITION = ["partition", "offset"]
 TRANSPORT = [*POSITION, "kafka_timestamp", "payload"]
 
 
@@ -33,8 +33,10 @@ def read_events(
 ) -> DataFrame:
     """Stream of broker envelopes.
 
-    ``kafka`` subscribes to the topic from its beginning and tolerates aged-out offsets.
-    Any file format replays recorded envelopes from ``path`` with the same columns.
+    ``kafka`` subscribes to the topic from its beginning and tolerates aged-out offsets
+    unless ``failOnDataLoss`` says otherwise; ``maxOffsetsPerTrigger`` bounds a batch. Any
+    file format replays recorded envelopes from ``path`` with the same columns, in batches of
+    ``maxFilesPerTrigger`` files.
     """
     if fmt == "kafka":
         settings = {"subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false"}
@@ -86,24 +88,3 @@ def split_bad(df: DataFrame, table: S.RawTable) -> tuple[DataFrame, DataFrame]:
     bad = tagged.filter(F.col("violation").isNotNull()).select(
         *POSITION, "kafka_timestamp", "payload", "violation")
     return good, bad
-
-
-def dedup_stream(df: DataFrame, key: tuple[str, ...], delay: str) -> DataFrame:
-    """Drop repeated keys that arrive within ``delay`` of each other.
-
-    The watermark follows the broker's time, so state is bounded by the delay and not by
-    how old the events are. A row without a key is identified by its source position and
-    is never taken for a copy of another. Spark drops rows that arrive later than the
-    delay, so pick one longer than any backlog; the keyed insert of
-    :func:`ledgerwake.streaming.sinks.start_keyed_insert` is the exact, unbounded way.
-    """
-    position = F.concat_ws("/", F.lit("position"), *POSITION)
-    identity = F.struct(
-        *key, F.when(F.greatest(*[F.col(c).isNull() for c in key]), position)) \
-        if len(key) > 1 else F.coalesce(F.col(key[0]), position)
-    return (
-        df.withWatermark("kafka_timestamp", delay)
-        .withColumn("_identity", identity)
-        .dropDuplicatesWithinWatermark(["_identity"])
-        .drop("_identity")
-    )

@@ -11,32 +11,38 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwake.session import build_session
+from ledgerwake.sources.landing import rows_landed
 from ledgerwake.streaming.feeds import FEEDS
-from ledgerwake.streaming.sinks import rows_read, start_feed, start_keyed_insert, start_upsert
+from ledgerwake.streaming.sinks import start_feed
 
 log = logging.getLogger("ledgerwake.feeds")
 
+# Keeps the first batch of a long topic from being the whole topic.
+MAX_OFFSETS = 5_000_000
+
+
+def places(root: str, name: str) -> tuple[str, str]:
+    """Landing folder and checkpoint of a feed."""
+    table = FEEDS[name].table.name
+    return f"{root}/{table}", f"{root}/checkpoints/{table}"
+
 
 def start(
     spark: SparkSession, names: list[str], source: dict, root: str, every: str,
-    exact_keys: bool = False,
 ) -> dict[str, StreamingQuery]:
     """Start the named feeds, each with its own checkpoint.
 
-    Prices are upserted. Trades and cash are appended, or with ``exact_keys`` checked
-    against all stored keys first.
+    All messages are appended. Duplicates cannot get through: ``load_raw`` keeps one row for
+    each key.
     """
-    queries = {}
-    for name in names:
-        feed = FEEDS[name]
-        place = (f"{root}/{feed.table.name}", f"{root}/checkpoints/{feed.table.name}")
-        run = start_upsert if name == "prices" else (
-            start_keyed_insert if exact_keys else start_feed)
-        queries[name] = run(spark, feed, source, *place, trigger={"processingTime": every})
-    return queries
+    return {
+        name: start_feed(spark, FEEDS[name], source, *places(root, name),
+                         trigger={"processingTime": every})
+        for name in names
+    }
 
 
-def wait(queries: dict[str, StreamingQuery]) -> list[str]:
+def wait(spark: SparkSession, queries: dict[str, StreamingQuery], root: str) -> list[str]:
     """Wait for every feed; one that fails does not stop the others. Returns the failed."""
     failed = []
     for name, query in queries.items():
@@ -45,25 +51,40 @@ def wait(queries: dict[str, StreamingQuery]) -> list[str]:
         except StreamingQueryException as error:
             failed.append(name)
             log.error("%s failed: %s", name, error)
-        log.info("%s ended after %d recorded rows", name, rows_read(query))
+        total = rows_landed(spark, *places(root, name))
+        log.info("%s ended with %d messages landed", name, total)
     return failed
 
 
-def main() -> None:
+def source_options(args: argparse.Namespace) -> dict[str, str]:
+    """Source settings of the command line."""
+    source = {"fmt": "kafka", "kafka.bootstrap.servers": args.brokers,
+              "failOnDataLoss": str(args.fail_on_data_loss).lower()}
+    if args.max_offsets:
+        source["maxOffsetsPerTrigger"] = str(args.max_offsets)
+    return source
+
+
+def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--feeds", nargs="+", choices=list(FEEDS), default=list(FEEDS))
     parser.add_argument("--brokers", required=True, help="Kafka bootstrap servers")
     parser.add_argument("--root", required=True, help="shared folder of the landing tables")
     parser.add_argument("--every", default="10 seconds", help="trigger interval")
-    parser.add_argument("--exact-keys", action="store_true",
-                        help="set aside trades and cash whose key is already stored")
-    args = parser.parse_args()
+    parser.add_argument("--max-offsets", type=int, default=MAX_OFFSETS,
+                        help="most messages in a batch of a feed; 0 for no limit")
+    parser.add_argument("--fail-on-data-loss", action="store_true",
+                        help="stop when messages aged out before they were read")
+    return parser
+
+
+def main() -> None:
+    args = arguments().parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = build_session("ledgerwake-feeds")
-    source = {"fmt": "kafka", "kafka.bootstrap.servers": args.brokers}
-    queries = start(spark, args.feeds, source, args.root, args.every, args.exact_keys)
+    queries = start(spark, args.feeds, source_options(args), args.root, args.every)
     try:
-        failed = wait(queries)
+        failed = wait(spark, queries, args.root)
     except KeyboardInterrupt:
         for query in queries.values():
             query.stop()

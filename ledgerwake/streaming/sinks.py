@@ -1,38 +1,24 @@
-"""Streaming queries: append, quarantine, upsert, keyed insert.
+"""The streaming sink: good and bad messages go to one append-only landing log.
 
-Appends use the native file sink, which commits each micro-batch exactly once together
-with the checkpoint. ``foreachBatch`` is kept for the writes that must look at what is
-already stored. No rows are ever collected to the driver.
+The native file sink commits each micro-batch exactly once together with the checkpoint. What
+the rows of a key add up to (first arrival, newest price) is decided by the readers in
+:mod:`ledgerwake.sources.landing`, over all runs and batches. No rows reach the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerwake.operators.writes import resolve_upserts, tag_new, tag_violations
-from ledgerwake.schemas import RawTable
-from ledgerwake.sources.raw import BAD, OK, accepted_rows, stored
-from ledgerwake.streaming.feeds import POSITION, Feed, decode_json, dedup_stream, read_events
+from ledgerwake.operators.writes import tag_violations
+from ledgerwake.sources.landing import BAD, OK, run_folder
+from ledgerwake.streaming.feeds import Feed, decode_json, read_events
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 ONCE = {"availableNow": True}
 
 
-def landed(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
-    """Accepted rows of a landing folder."""
-    return accepted_rows(spark.read.parquet(path), table)
-
-
-def quarantined(spark: SparkSession, path: str) -> DataFrame:
-    """Refused messages with payload, position and the constraint they broke."""
-    return spark.read.parquet(path).filter(F.col("verdict") == BAD).select(
-        *POSITION, "kafka_timestamp", "payload", "violation")
-
-
 def append_sink(
     df: DataFrame,
     path: str,
@@ -52,148 +38,18 @@ def start_feed(
     path: str,
     checkpoint: str,
     trigger: dict = EVERY_10_SECONDS,
-    dedup_delay: str | None = None,
 ) -> StreamingQuery:
     """Run one feed: source, decode, conform, verdict, append.
 
     Good and bad messages leave through one sink, split by the ``verdict`` folder, so the
-    source is read once and no message is lost. The payload is kept for bad ones only.
+    source is read once and no message is lost: copies and late rows land, too. The payload
+    is kept for bad ones only. Any number of checkpoints may write to one ``path``.
     """
     rows = feed.conform(decode_json(read_events(spark, feed.topic, **source), feed.message))
-    if dedup_delay is not None:
-        rows = dedup_stream(rows, feed.table.key, dedup_delay)
     judged = (
         tag_violations(rows, feed.table)
         .withColumn("payload", F.when(F.col("violation").isNotNull(), F.col("payload")))
         .withColumn("verdict", F.when(F.col("violation").isNull(), OK).otherwise(BAD))
     )
-    return append_sink(judged, path, checkpoint, trigger, ("verdict",))
-
-
-def _replace_parts(df: DataFrame, path: str, *columns: str) -> None:
-    """Overwrite just the partitions ``df`` holds rows for; hot ones are split on the way."""
-    (df.hint("rebalance", *columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path))
-
-
-def _once_per_batch(
-    spark: SparkSession, root: str, compute: Callable[[], DataFrame], epoch: int
-) -> DataFrame:
-    """Result of a micro-batch, computed once even if the batch is replayed.
-
-    The marker is written after the result. A replay that finds its epoch in it publishes
-    the stored result again instead of merging into a table it may have half replaced. Two
-    slots take turns, so old results do not pile up.
-    """
-    result, marker = (f"{root}/_pending/{kind}={epoch % 2}" for kind in ("result", "done"))
-    done = stored(spark, marker)
-    if done is None or done.filter(F.col("id") == epoch).isEmpty():
-        compute().write.mode("overwrite").parquet(result)
-        spark.range(epoch, epoch + 1).write.mode("overwrite").parquet(marker)
-    return spark.read.parquet(result)
-
-
-def _merge_parts(
-    existing: DataFrame | None, arrived: DataFrame, table: RawTable, overwritten: tuple[str, ...]
-) -> DataFrame:
-    """All rows of the table parts that ``arrived`` touches, upserted."""
-    log = arrived
-    if existing is not None:
-        # Two values reach the driver: the range prunes folders at planning time, the
-        # semi join then keeps exactly the parts that change.
-        first, last = arrived.agg(F.min("event_part"), F.max("event_part")).first()
-        parts = arrived.select("event_part").distinct()
-        kept = existing.filter(F.col("event_part").between(first, last)).join(
-            parts, on="event_part", how="left_semi")
-        log = kept.withColumn("_arrival", F.lit(0)).unionByName(
-            arrived, allowMissingColumns=True)
-    return resolve_upserts(
-        log, [*table.key, "event_part"],
-        ["_arrival", "kafka_timestamp", *POSITION], overwritten)
-
-
-def _per_batch(
-    spark: SparkSession, feed: Feed, source: dict, path: str, checkpoint: str, trigger: dict,
-    write_good: Callable[[DataFrame, int], None],
-) -> StreamingQuery:
-    """Query whose good rows go through ``write_good``; bad ones go to ``_quarantine``.
-
-    Folders with a leading underscore are invisible to readers of the table around them.
-    """
-    rows = feed.conform(decode_json(read_events(spark, feed.topic, **source), feed.message))
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            bad = batch.filter(F.col("violation").isNotNull()).select(
-                *POSITION, "kafka_timestamp", "payload", "violation",
-                F.lit(epoch).cast("bigint").alias("epoch"))
-            _replace_parts(bad, f"{path}/_quarantine", "epoch")
-            good = batch.filter(F.col("violation").isNull())
-            if not good.isEmpty():
-                write_good(good.drop("violation", "payload"), epoch)
-        finally:
-            batch.unpersist()
-
-    return (
-        tag_violations(rows, feed.table).writeStream.outputMode("append").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
-
-
-def start_upsert(
-    spark: SparkSession, feed: Feed, source: dict, path: str, checkpoint: str,
-    overwritten: tuple[str, ...] = ("price",), grain: str = "day",
-    trigger: dict = EVERY_10_SECONDS,
-) -> StreamingQuery:
-    """Keep a table unique on its key: newest ``overwritten`` columns, oldest others.
-
-    The table at ``path`` is partitioned by event ``grain`` (day, week, month...).
-    Only the parts a batch touches are read and replaced: days suit a live feed, a coarser
-    grain suits the replay of a long history.
-    """
-    part = F.date_trunc(grain, F.col("timestamp").cast("timestamp_ntz")).cast("date")
-
-    def write(good: DataFrame, epoch: int) -> None:
-        arrived = good.withColumn("event_part", part).withColumn("_arrival", F.lit(1))
-        merged = _once_per_batch(
-            spark, path,
-            lambda: _merge_parts(stored(spark, path), arrived, feed.table, overwritten),
-            epoch)
-        _replace_parts(merged, path, "event_part")
-
-    return _per_batch(spark, feed, source, path, checkpoint, trigger, write)
-
-
-def start_keyed_insert(
-    spark: SparkSession, feed: Feed, source: dict, path: str, checkpoint: str,
-    trigger: dict = EVERY_10_SECONDS,
-) -> StreamingQuery:
-    """Append rows with a new key, exactly; duplicates of any age land as ``bad``.
-
-    Both go to ``path``, in folders per batch and verdict. A replayed batch ignores
-    and overwrites its own folder.
-    """
-
-    def write(good: DataFrame, epoch: int) -> None:
-        earlier = stored(spark, path)
-        key = list(feed.table.key)
-        # Only the stored keys a batch brings again matter. The batch is the small side.
-        known = good.limit(0) if earlier is None else earlier.filter(
-            (F.col("epoch") < epoch) & (F.col("verdict") == OK)
-        ).select(*key).join(good.select(*key), on=key, how="left_semi")
-        tagged = tag_new(known, good, feed.table.key, ["kafka_timestamp", *POSITION])
-        verdict = F.when(F.col("is_new"), OK).otherwise(BAD)
-        _replace_parts(
-            tagged.withColumn("verdict", verdict).drop("is_new")
-            .withColumn("epoch", F.lit(epoch).cast("bigint")),
-            path, "epoch", "verdict")
-
-    return _per_batch(spark, feed, source, path, checkpoint, trigger, write)
-
-
-def rows_read(query: StreamingQuery) -> int:
-    """Rows a query took from its source over its recorded progress."""
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return append_sink(
+        judged, run_folder(spark, path, checkpoint), checkpoint, trigger, ("verdict",))

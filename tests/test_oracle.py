@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from ledgerwake import catalog, oracle
 from tests.compare import ROOT, connect, difference
 
 SF_DIR = f"{ROOT}/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
