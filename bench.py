@@ -31,7 +31,8 @@ QUERIES = [
     "stg_trades", "int_daily_prices", "int_cash_balances", "fact_positions_daily",
     "fact_portfolio_value_daily", "fact_pnl_daily", "rolling_volatility", "drawdown",
     "value_history", "holdings", "risk_summary", "qc_unique", "price_upsert",
-    "keyed_insert_rejected", "stream_dedup",
+    "keyed_insert_rejected", "stream_dedup", "stream_replay_prices", "stream_keyed_insert",
+    "qc_summary",
 ]
 
 
