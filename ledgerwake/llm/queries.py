@@ -129,3 +129,61 @@ def op7_jaccard_join(spark, sf_dir):
 @query
 def op4_substring_dedup(spark, sf_dir):
     return substring_dedup.table(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op4_substring_dedup"] = r"""
+    WITH texts AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+        FROM documents
+    ), starts AS (
+        SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i
+        FROM texts WHERE len(words) >= 35
+    ), windows AS (
+        SELECT doc_id, i, sha256(array_to_string(words[i:i + 34], ' ')) AS content FROM starts
+    ), covered AS (
+        SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS place FROM windows
+        WHERE content IN (SELECT content FROM windows GROUP BY content HAVING count(*) > 1)
+    ), places AS (
+        SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts
+    ), kept AS (
+        SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS kept
+        FROM places ANTI JOIN covered USING (doc_id, place) GROUP BY doc_id
+    )
+    SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256,
+           strlen(coalesce(kept, '')) AS kept_bytes
+    FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL["op7_jaccard_join"] = r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS words
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i
+              FROM texts WHERE len(words) > 0)
+    ), sizes AS (
+        SELECT doc_id, count(shingle) AS n FROM texts LEFT JOIN shingles USING (doc_id)
+        GROUP BY doc_id
+    ), common AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+        GROUP BY x, y
+    ), links AS (
+        SELECT x, y FROM common
+        JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+        WHERE 100 * common.n >= 90 * (a.n + b.n - common.n)
+    ), both_ways AS (
+        SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+    ), reached(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM sizes
+        UNION
+        SELECT reached.doc_id, y FROM reached JOIN both_ways ON x = other
+    )
+    SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id,
+           count(*) AS component_size
+    FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
