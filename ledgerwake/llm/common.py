@@ -20,6 +20,8 @@ IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+PARALLELISM = "spark.sql.leafNodeDefaultParallelism"
+
 # Odd multipliers of the word and shingle hashes.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -42,10 +44,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def with_row(df: DataFrame, *columns: Column | str) -> DataFrame:
-    """Selected columns behind a unique ``row``; stage the result before using it twice."""
+    """Selected columns behind a unique ``row``.
+
+    Over a scan of written files the numbers stay the same from job to job: how files are cut
+    must then not follow the executors alive, so the session's parallelism is fixed here at its
+    present value. Anything else is to be staged before it is used twice.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(PARALLELISM, None) is None:
+        spark.conf.set(PARALLELISM, str(spark.sparkContext.defaultParallelism))
     return df.select(F.monotonically_increasing_id().alias("row"), *columns)
 
 
+def whole_rows(df: DataFrame, name: str, written: bool) -> DataFrame:
+    """``row, _d, doc_id, text``, where ``_d`` holds all columns of ``df``.
+
+    ``written`` promises that ``df`` is a scan of written files, which need no other copy.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_d")
+    rows = with_row(df, whole, "doc_id", "text")
+    return rows if written else staged(rows, name)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

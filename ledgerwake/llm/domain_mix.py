@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwake.llm.common import staged, with_row, word_hashes
+from ledgerwake.llm.common import staged, whole_rows, with_row, word_hashes
 
 FIT_ROWS = 20_000
 BUCKETS = 1 << 16
@@ -211,10 +211,9 @@ def table(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
 
 
 def mixed_corpus(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
-                 **options) -> DataFrame:
+                 written: bool = False, **options) -> DataFrame:
     """The documents themselves, each as often as its copies say."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d")
-    keyed = staged(with_row(docs, whole, "doc_id", "text"), "mix-input")
+    keyed = whole_rows(docs, "mix-input", written)
     rated, _ = rates(keyed, labelled, targets, **options)
     copies = rated.filter("copies > 0").select("row", "copies")
     return keyed.join(copies, "row").select(

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerwake.llm.common import SPACES, mixed, staged, text_of, with_row
+from ledgerwake.llm.common import SPACES, mixed, staged, text_of, whole_rows, with_row
 
 # Distinct texts for each filter shard, on average. Bounds the memory of building a filter.
 SHARD_KEYS = 1 << 15
@@ -221,10 +221,9 @@ def decide(docs: DataFrame, shard_keys: int = SHARD_KEYS, snapshots: int = 1) ->
         (F.col("row") == F.col("keep_row")).alias("kept"))
 
 
-def survivors(docs: DataFrame, **options) -> DataFrame:
+def survivors(docs: DataFrame, written: bool = False, **options) -> DataFrame:
     """The rows that stay, with the columns they came with."""
-    keyed = staged(with_row(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d"),
-                            "doc_id", "text"), "dedup-input")
+    keyed = whole_rows(docs, "dedup-input", written)
     kept = decide(keyed, **options).filter("kept").select("row")
     return keyed.join(kept, "row", "left_semi").select("_d.*")
 
