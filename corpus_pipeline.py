@@ -1,7 +1,7 @@
 """Prepare a corpus for training: a chain of stages over ``documents``.
 
 Quality classifier, exact dedup, near-duplicate join, mixing to target weights, packing. Each
-stage takes all its predecessor kept and returns the columns of ``documents``; the last one
+stage takes all its predecessor kept, as a written table, and returns the columns of ``documents``; the last one
 returns the bins. Mixing never discards: a rate is at least 1, and what a domain lacks is made up
 by repeating its documents, whose copies packing then keeps out of each other's bins.
 """
@@ -28,18 +28,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return exact_dedup.survivors(docs)
+    return exact_dedup.survivors(docs, written=True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return jaccard_join.representatives(docs, NEAR)
+    return jaccard_join.representatives(docs, NEAR, written=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     labelled = labelled_domains(docs, read_table(spark, sf_dir, "labels"))
-    return domain_mix.mixed_corpus(docs, labelled, TARGETS, least=1.0, cover=True)
+    return domain_mix.mixed_corpus(docs, labelled, TARGETS, written=True, least=1.0, cover=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
