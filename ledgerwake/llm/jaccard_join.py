@@ -42,11 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwake.llm.common import (
+    MIX,
     gram_hashes,
     mixed,
     partitions,
     staged,
     text_of,
+    whole_rows,
     with_row,
     word_hashes,
 )
@@ -61,7 +63,9 @@ MOST_SUBSETS = 29
 ENTRY_COST = 8
 # Bits of a parity bitmap: at least NARROW, else three for each member that may differ.
 NARROW, WIDEST = 256, 1 << 14
-SHORT_RUN = 32
+SHORT_RUN = 16
+# Texts that meet in a verification task, on average.
+TEXTS = 256
 
 
 @dataclass(frozen=True)
@@ -79,9 +83,9 @@ class Rule:
         return n - -(-self.percent * n // 100)
 
     def spread(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Largest symmetric difference of linked sets of these sizes."""
-        both = a + b
-        return both - 2 * -(-self.percent * both // (100 + self.percent))
+        """Largest symmetric difference of linked sets of these sizes; -1 if they cannot link."""
+        common = -(-self.percent * (a + b) // (100 + self.percent))
+        return np.where(common <= np.minimum(a, b), a + b - 2 * common, -1)
 
     def bits(self, n: int) -> int:
         """Width of the parity bitmap of a set: a power of two."""
@@ -237,6 +241,24 @@ def blocks(entries: DataFrame, classes: DataFrame, *extra: str) -> DataFrame:
     return paired.join(info, "class").select("gram", "lo", "hi", "class", "n", "bits", *extra)
 
 
+class Bitmaps:
+    """Bitmaps of a list, compared in the full width two of them have in common."""
+
+    def __init__(self, bits: list[bytes]) -> None:
+        self.width = np.array([8 * len(b) for b in bits])
+        self.rows = {w: np.flatnonzero(self.width >= w) for w in np.unique(self.width).tolist()}
+        self.words = {w: np.stack([folded(bits[i], w) for i in rows.tolist()])
+                      for w, rows in self.rows.items()}
+
+    def distances(self, i: int) -> np.ndarray:
+        out = np.zeros(len(self.width), dtype=np.int64)
+        for width, rows in self.rows.items():  # ascending: the widest in common comes last
+            if width <= self.width[i]:
+                own = self.words[width][np.searchsorted(rows, i)]
+                out[rows] = np.bitwise_count(self.words[width] ^ own).sum(axis=1, dtype=np.int64)
+        return out
+
+
 class Scan:
     """Looks for pairs within the runs of a sorted partition."""
 
@@ -246,8 +268,7 @@ class Scan:
     def pairs(self, run: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Positions of candidate pairs in one list."""
         sizes = run["n"].to_numpy(dtype=np.int64)
-        width = 8 * min(map(len, run["bits"]))
-        words = np.stack([folded(b, width) for b in run["bits"]])
+        words = Bitmaps(run["bits"].tolist())
         part = run["component"].to_numpy() if self.cross else None
         if part is not None:
             for i in range(len(run) - 1):
@@ -255,8 +276,11 @@ class Scan:
                 hit = np.flatnonzero(near & (part[i + 1:] != part[i])) + i + 1
                 yield np.full(len(hit), i), hit
             return
-        # Prim's algorithm: an edge for each row that some row before it is near to.
-        far = np.int64(1 << 40)
+        # Prim's algorithm: an edge for each row that some row before it is near to. Equal
+        # distances are told apart by a hash of the pair, so lists with the same members
+        # mostly agree on their edges.
+        far = np.int64(1 << 60)
+        who = run["class"].to_numpy().view(np.uint64)
         best = np.full(len(run), far)
         parent = np.zeros(len(run), dtype=np.int64)
         left = np.ones(len(run), dtype=bool)
@@ -264,6 +288,8 @@ class Scan:
         for _ in range(len(run) - 1):
             left[now] = False
             gap = self._near(words, sizes, now)
+            tie = mixed((who ^ who[now]) * MIX[0] + who + who[now]) >> np.uint64(34)
+            gap = np.where(gap >= 0, (gap << 30) + tie.view(np.int64), -1)
             closer = left & (gap >= 0) & (gap < best)
             best[closer] = gap[closer]
             parent[closer] = now
@@ -273,9 +299,9 @@ class Scan:
                 b.append(now)
         yield np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
-    def _near(self, words: np.ndarray, sizes: np.ndarray, i: int) -> np.ndarray:
+    def _near(self, words: Bitmaps, sizes: np.ndarray, i: int) -> np.ndarray:
         """Bitmap distance of every row from row ``i``; -1 where a link is impossible."""
-        gap = np.bitwise_count(words ^ words[i]).sum(axis=1, dtype=np.int64)
+        gap = words.distances(i)
         return np.where(gap <= self.rule.spread(sizes, sizes[i]), gap, -1)
 
     def short(self, rows: pd.DataFrame, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -317,6 +343,7 @@ class Scan:
         length = np.bincount(runs)[runs]
         few = (length <= SHORT_RUN) & (length > 1)
         a, b = [], []
+        short = 0
         if few.any():
             at = np.flatnonzero(few)
             i, j = self.short(rows[few], runs[few])
@@ -324,6 +351,7 @@ class Scan:
             keep = self._passes(rows, i, j)
             a.append(i[keep])
             b.append(j[keep])
+            short = len(a[0])
         for first in np.flatnonzero(new & (length > SHORT_RUN)):
             for i, j in self.pairs(rows.iloc[first:first + length[first]]):
                 a.append(i + first)
@@ -331,13 +359,19 @@ class Scan:
         a = np.concatenate([*a, np.zeros(0, np.int64)])
         b = np.concatenate([*b, np.zeros(0, np.int64)])
         who = rows["class"].to_numpy()
-        return pd.DataFrame({
+        found = pd.DataFrame({
             "a": np.minimum(who[a], who[b]), "b": np.maximum(who[a], who[b]),
-            "gram": rows["gram"].to_numpy()[a]}).drop_duplicates(["a", "b", "gram"])
+            "gram": rows["gram"].to_numpy()[a], "forest": np.arange(len(a)) >= short})
+        # Of a short list every pair is here already; of a long one the list may be asked again.
+        once = found[~found["forest"]].sort_values("gram").drop_duplicates(["a", "b"])
+        return pd.concat([once, found[found["forest"]].drop_duplicates()])
 
 
 def scanned(dealt: DataFrame, rule: Rule, cross: bool = False) -> DataFrame:
-    """Candidates ``a, b`` of all lists, with the list's ``gram``."""
+    """Candidates ``a, b`` of all lists, with a ``gram`` they share.
+
+    ``forest`` marks those of long lists, where they stand for pairs that were left out.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker = Scan(rule, cross)
@@ -366,39 +400,68 @@ def scanned(dealt: DataFrame, rule: Rule, cross: bool = False) -> DataFrame:
     key = ["gram", "lo", "hi"]
     ranged = dealt.repartition(partitions(dealt.sparkSession), *key).sortWithinPartitions(
         *key, "class")
-    return ranged.mapInPandas(scan, "a bigint, b bigint, gram bigint")
+    return ranged.mapInPandas(scan, "a bigint, b bigint, gram bigint, forest boolean")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """``a, b, linked`` for candidate pairs, decided on the texts."""
-    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "wanted")
+def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Packed texts of all classes in candidate pairs."""
 
     @F.pandas_udf("binary")
     def packed(text: pd.Series) -> pd.Series:
-        press = zstandard.ZstdCompressor(level=1).compress
+        press = zstandard.ZstdCompressor(level=3).compress
         return pd.Series([press(t.encode("utf-8", "surrogatepass")) for t in text])
 
-    @F.pandas_udf("boolean")
-    def linked(left: pd.Series, right: pd.Series) -> pd.Series:
-        unpress = zstandard.ZstdDecompressor().decompress
-        last: list = [None, None]
+    rows = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    # The wanted texts grow with the corpus, so they are merged, at any size.
+    return staged(docs.select("row", packed(text_of()).alias("z")).join(
+        rows.hint("merge"), "row"), "texts")
+
 
-        def shingles(z: bytes) -> np.ndarray:
-            return rule.shingles(bytes(unpress(z)).decode("utf-8", "surrogatepass"))
+def verified(texts: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """``a, b, linked`` for staged candidate pairs ``a, b, home``, decided on the texts.
+
+    Pairs with one home meet in one task, so a text travels once for each home and not for each
+    pair. A pair whose two sets are already connected there by verified links is left out.
+    """
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("row"), "home").distinct(),
+                    "wanted")
+    buckets = max(1, wanted.count() // TEXTS)
+
+    def check(some: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+        unpress = zstandard.ZstdDecompressor().decompress
+        packed_by = dict(zip(texts["row"], texts["z"], strict=True))
+        sets: dict[int, np.ndarray] = {}
+        above: dict[int, int] = {}
+
+        def shingles(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = rule.shingles(
+                    unpress(packed_by[row]).decode("utf-8", "surrogatepass"))
+            return sets[row]
+
+        def root(row: int) -> int:
+            while above.get(row, row) != row:
+                above[row] = above.get(above[row], above[row])
+                row = above[row]
+            return row
 
         found = []
-        for a, b in zip(left, right, strict=True):
-            if last[0] != a:
-                last = [a, shingles(a)]
-            found.append(rule.links(last[1], shingles(b)))
-        return pd.Series(found, dtype=bool)
+        for a, b in zip(some["a"].tolist(), some["b"].tolist(), strict=True):
+            left, right = root(a), root(b)
+            if left == right:
+                continue
+            linked = rule.links(shingles(a), shingles(b))
+            if linked:
+                above[left] = right
+            found.append((a, b, linked))
+        return pd.DataFrame(found, columns=["a", "b", "linked"])
 
-    texts = staged(docs.select("row", text_of().alias("text")).join(wanted, "row").select(
-        "row", packed("text").alias("z")), "texts")
-    left = texts.select(F.col("row").alias("a"), F.col("z").alias("left"))
-    right = texts.select(F.col("row").alias("b"), F.col("z").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
-    return staged(both.select("a", "b", linked("left", "right").alias("linked")), "verified")
+    bucket = F.pmod(F.xxhash64("home"), F.lit(buckets)).alias("bucket")
+    at = wanted.select("row", bucket).distinct()
+    dealt = texts.join(at.hint("merge"), "row").groupBy("bucket")
+    judged = pairs.select("a", "b", bucket).groupBy("bucket").cogroup(dealt).applyInPandas(
+        check, "a bigint, b bigint, linked boolean")
+    return staged(judged, "verified")
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -407,14 +470,19 @@ def linked_classes(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame
     limit = boundary({r["n"]: r["count"] for r in sizes}, rule)  # one row for each small size
     entries = list_entries(classes, rule, limit)
     lengths = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    found = staged(scanned(blocks(entries.join(lengths, "gram"), classes), rule), "scanned")
-    candidates = staged(found.select("a", "b").unionByName(
-        small_candidates(classes, rule, limit)).distinct(), "candidates")
-    judged = verified(docs, candidates, rule)
+    found = staged(
+        scanned(blocks(entries.join(lengths, "gram"), classes), rule).unionByName(
+            small_candidates(classes, rule, limit).withColumns(
+                {"gram": F.col("a"), "forest": F.lit(False)})), "scanned")
+    pairs = homed(staged(distinct_pairs(found), "candidates"))
+    texts = texts_of(docs, pairs)
+    judged = verified(texts, pairs, rule)
     edges = judged.filter("linked").select("a", "b")
     parts = staged(components(edges), "components")
-    broken = staged(found.join(judged.filter("NOT linked"), ["a", "b"]).select(
-        "gram").distinct(), "broken")
+    # Long lists one of whose forest edges is no link.
+    failed = judged.filter("NOT linked").select("a", "b")
+    broken = staged(
+        found.filter("forest").join(failed, ["a", "b"]).select("gram").distinct(), "broken")
     if broken.isEmpty():
         return parts
     named = classes.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn(
@@ -422,14 +490,34 @@ def linked_classes(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame
     again = entries.join(broken, "gram")
     lengths = again.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     more = scanned(blocks(again.join(lengths, "gram"), named, "component"), rule, cross=True)
-    fresh = staged(more.select("a", "b").distinct().join(
-        judged.select("a", "b"), ["a", "b"], "left_anti"), "more")
+    fresh = staged(distinct_pairs(more).join(failed, ["a", "b"], "left_anti"), "more")
     if fresh.isEmpty():
         return parts
-    extra = verified(docs, fresh, rule).filter("linked").select("a", "b")
+    fresh = homed(fresh)
+    # Whoever is in a pair now was in a forest before, so the texts are at hand.
+    extra = verified(texts, fresh, rule).filter("linked").select("a", "b")
     return components(edges.unionByName(extra))
 
 
+def distinct_pairs(found: DataFrame) -> DataFrame:
+    return found.select("a", "b").distinct()
+
+
+def homed(pairs: DataFrame) -> DataFrame:
+    """Give staged pairs a ``home``: the component of candidates they are in.
+
+    Large components are dealt in blocks of members, two to a home, so that a task holds a
+    bounded number of texts and a text goes to no more homes than its component has blocks.
+    """
+    parts = staged(components(pairs), "groups")
+    sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    count = F.ceil(F.col("size") / (2 * TEXTS))
+    one, two = (F.pmod(F.xxhash64(c), count) for c in "ab")
+    named = pairs.join(parts.withColumnRenamed("node", "a"), "a").join(sizes, "component")
+    return staged(named.select("a", "b", F.xxhash64(
+        "component", F.least(one, two), F.greatest(one, two)).alias("home")), "pairs")
+
+
 def memberships(docs: DataFrame, rule: Rule, find: Callable = linked_classes) -> DataFrame:
     """``row, doc_id, n, class, component`` for all rows; both are NULL for an empty set.
 
@@ -465,10 +553,10 @@ def table(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
         F.coalesce("component_size", F.lit(1)).cast("bigint").alias("component_size"))
 
 
-def representatives(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
+def representatives(docs: DataFrame, rule: Rule | None = None,
+                    written: bool = False) -> DataFrame:
     """One document of each component, and all with an empty set, as they came."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_d")
-    keyed = staged(with_row(docs, whole, "doc_id", "text"), "join-input")
+    keyed = whole_rows(docs, "join-input", written)
     rows = staged(memberships(keyed, rule or Rule()), "members")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")
     kept = rows.filter("component IS NOT NULL").groupBy("component").agg(best).select("best.row")
