@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerwake.llm import bin_packing, domain_mix, exact_dedup, jaccard_join, site_quality
 from ledgerwake.llm.common import read_table, staged
-from ledgerwake.llm.queries import TARGETS, labelled_domains, site
+from ledgerwake.llm.queries import RANKS, TARGETS, labelled_domains, site
 from ledgerwake.llm.ship import ship
 
 # Near duplicates: shingles of five words, likeness of 0.8 or more.
@@ -44,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return bin_packing.table(docs)
+    return bin_packing.table(docs, RANKS)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

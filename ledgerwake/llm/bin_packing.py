@@ -10,6 +10,10 @@ Documents are dealt by a hash to groups of ``group_rows`` on average, and packed
 a hot source or cluster spreads over all groups, and only bins at the end of a group stay open.
 A document longer than a bin fills bins of its own and leaves a remainder to pack.
 
+Lengths are ids of a ``vocabulary``, as ``token_files`` writes them, and ``text_start`` is a place
+among the ids of the document. Without a vocabulary, an explicit option of callers, the unit of
+lengths, capacity and places is the word.
+
 NULL and empty texts hold the end mark alone, one token. A NULL source is a source like others;
 pass ``by_source=False`` to let sources meet. Repeated rows are packed one by one, and conflict
 as a cluster. Equal lengths are placed in the order of a hash of the row.
@@ -23,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwake.llm.common import WORD, staged, text_of, with_row
+from ledgerwake.llm.token_files import n_ids
 
 CAPACITY = 4096
 GROUP_ROWS = 4096
@@ -121,14 +126,19 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     return packed.withColumn("doc_id", F.col("doc_id").cast(rows.schema["doc_id"].dataType))
 
 
-def pieces_of(docs: DataFrame) -> DataFrame:
-    """Lengths and clusters of documents: words and an end mark; equal texts are a cluster."""
+def pieces_of(docs: DataFrame, vocabulary: tuple[str, str] | None = None) -> DataFrame:
+    """Lengths and clusters of documents: ids and an end mark; equal texts are a cluster.
+
+    ``vocabulary`` is a path of ranks and a pattern; without one, words are counted.
+    """
+    length = (n_ids(text_of(), *vocabulary) if vocabulary
+              else F.regexp_count(text_of(), F.lit(WORD)))
     return with_row(
         docs, "doc_id", F.col("source").cast("string").alias("source"),
         F.xxhash64(F.sha2(text_of(), 256)).alias("cluster"),
-        (F.regexp_count(text_of(), F.lit(WORD)) + 1).cast("bigint").alias("n_tokens"))
+        (length + 1).cast("bigint").alias("n_tokens"))
 
 
-def table(docs: DataFrame, **options) -> DataFrame:
+def table(docs: DataFrame, vocabulary: tuple[str, str] | None = None, **options) -> DataFrame:
     """Every piece of every document with its bin."""
-    return pack(pieces_of(docs), **options)
+    return pack(pieces_of(docs, vocabulary), **options)

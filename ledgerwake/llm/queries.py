@@ -26,6 +26,10 @@ from ledgerwake.llm.ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The vocabulary whose ids are the tokens of op1, and as ranks and pattern where ids are counted.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -47,7 +51,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_token_files(spark, sf_dir):
     return token_files.token_table(
-        spark, documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+        spark, documents(spark, sf_dir), VOCABULARY, end_id=2)
 
 
 @query
@@ -118,7 +122,7 @@ def op3_domain_mix(spark, sf_dir):
 
 @query
 def op6_bin_packing(spark, sf_dir):
-    return bin_packing.table(documents(spark, sf_dir))
+    return bin_packing.table(documents(spark, sf_dir), RANKS)
 
 
 @query

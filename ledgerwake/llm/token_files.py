@@ -24,13 +24,15 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwake.llm.common import batches_of, partitions, staged, text_of
+from ledgerwake.llm.secret_scan import scanner
 from ledgerwake.sources.scratch import scratch_dir
 
 MANIFEST = "part int, stem string, width int, n_docs bigint, n_ids bigint"
@@ -95,6 +97,21 @@ _inner_space = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[str, Encoder] = {}
 
 
+def n_ids(text: Column, ranks_path: str, pattern: str) -> Column:
+    """Number of ids :class:`Encoder` gives a text, without an end id.
+
+    ``ranks_path`` and ``pattern`` are the same vocabulary as ranks of byte strings, which count
+    ids in a third of the time; only this number leaves the worker.
+    """
+
+    @F.pandas_udf("bigint")
+    def count(text: pd.Series) -> pd.Series:
+        ids = scanner(ranks_path, pattern).encoding.encode_ordinary
+        return pd.Series([len(ids(t)) for t in text], dtype="int64")
+
+    return count(text)
+
+
 def encoder(path: str) -> Encoder:
     """One encoder for each vocabulary and worker process, kept between tasks."""
     if path not in _encoders:

@@ -9,11 +9,14 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+import corpus_pipeline
 from ledgerwake.llm import (
     bin_packing,
     domain_mix,
     jaccard_join,
+    queries,
     site_quality,
     sketches,
     substring_dedup,
@@ -304,6 +307,31 @@ def test_packing(corpus, by_source):
     assert sorted(r.text_start for r in pieces) == list(range(0, 30_001, 512))
 
 
+def test_packing_by_ids_of_a_vocabulary(spark, corpus):
+    """The pack stage and op6 count ids, also of a text without spaces."""
+    odd = corpus.filter("doc_id >= 10000 or doc_id < 40 or doc_id is null").unionByName(
+        spark.createDataFrame([(20_000, "日本語の" * 4000), (20_001, "Zq8/Lk2+" * 3000)],
+                              "doc_id long, text string"), allowMissingColumns=True)
+    coder = Tokenizer.from_file(queries.VOCABULARY)
+    coder.encode_special_tokens = True
+    lengths = Counter()
+    for i, t in cases.pairs(odd):
+        lengths[i] += len(coder.encode(t or "", add_special_tokens=False).ids) + 1
+    got = corpus_pipeline.pack(spark, odd, cases.SF_DIR).collect()
+    packed = Counter()
+    for r in got:
+        packed[r.doc_id] += r.n_tokens
+    assert packed == lengths and max(r.bin_tokens for r in got) <= bin_packing.CAPACITY
+    assert sum(r.doc_id == 20_000 for r in got) > 1
+    sizes = Counter()
+    for r in queries.QUERIES["op6_bin_packing"](spark, cases.SF_DIR).collect():
+        sizes[r.doc_id] += r.n_tokens
+    exact = Counter()
+    for i, t in cases.pairs(spark.read.parquet(f"{cases.SF_DIR}/documents.parquet")):
+        exact[i] += len(coder.encode(t or "", add_special_tokens=False).ids) + 1
+    assert sizes == exact
+
+
 def test_packing_of_nothing(empty):
     assert bin_packing.table(empty).count() == 0
 
