@@ -39,7 +39,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     labelled = labelled_domains(docs, read_table(spark, sf_dir, "labels"))
-    return domain_mix.mixed_corpus(docs, labelled, TARGETS, written=True, least=1.0, cover=True)
+    return domain_mix.mixed_corpus(docs, labelled, TARGETS, written=True, least=1.0, cover=True,
+                                   vocabulary=RANKS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

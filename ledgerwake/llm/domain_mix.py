@@ -3,13 +3,16 @@
 1. A naive Bayes classifier over hashed words learns the domains of a labelled table (at most
    ``FIT_ROWS`` labelled documents, taken in the order of a hash of their id).
 2. Every document is read in runs of ``RUN`` words. The posterior of each run, weighted by its
-   words, gives the tokens the document is expected to hold of each domain, so a text that
+   ids in a vocabulary (by its words where callers name no vocabulary), gives the tokens the document is expected to hold of each domain, so a text that
    changes its language halfway belongs to two domains.
 3. Projected gradient descent finds a rate for each document, no smaller than ``least``, so
    that the expected token totals of the domains match their targets in the sense of weighted
    least squares, with a small pull towards rate 1. A task replays the few steps so far on its
    documents, hence a step moves one number for each domain to the driver and nothing else.
 
+The ids are those of ``token_files`` without the end id, which belongs to no domain. Blank texts
+hold the domains' shares of the labelled words.
+
 A rate says how often a document is to be seen: the integer part always, the rest by a hash of
 its id. NULL and empty texts hold no tokens; their rate is 1. Targets for domains nobody was
 labelled with cannot be met and stay as a residual; targets are normalised to sum to 1. Without
@@ -26,7 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwake.llm.common import staged, whole_rows, with_row, word_hashes
+from ledgerwake.llm.common import staged, whole_rows, with_row, word_bounds, word_hashes
+from ledgerwake.llm.secret_scan import scanner
 
 FIT_ROWS = 20_000
 BUCKETS = 1 << 16
@@ -41,6 +45,24 @@ def slots_of(text: str | None) -> np.ndarray:
     return (word_hashes(text, lower=True) >> np.uint64(48)).astype(np.int64)
 
 
+def run_ids(text: str, vocabulary: tuple[str, str]) -> np.ndarray:
+    """Ids of every run of ``RUN`` words; a blank text is one run.
+
+    Runs are cut in front of the last space before a word. The vocabulary cuts there too, unless
+    the word begins with a wider space; the runs are then scaled to the ids of the whole text.
+    """
+    ids = scanner(*vocabulary).encoding.encode_ordinary
+    data = text.encode("utf-8", "surrogatepass")
+    starts, _ = word_bounds(np.frombuffer(data, dtype=np.uint8))
+    cuts = [0, *(starts[RUN::RUN] - 1).tolist(), len(data)]
+    runs = [data[a:b].decode("utf-8", "surrogatepass")
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    counts = np.array([len(ids(run)) for run in runs], dtype=float)
+    if any(run[1].isspace() for run in runs[1:]):
+        counts *= len(ids(text)) / counts.sum()
+    return counts
+
+
 def learn(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """Word counts for each domain and bucket, from ``labelled(doc_id, domain)``."""
     usable = labelled.filter(F.col("doc_id").isNotNull() & F.col("domain").isNotNull())
@@ -79,26 +101,30 @@ class Domains:
         share[total > 0] = np.log(total[total > 0] / total.sum())
         self.logs, self.share, self.trained = logs.astype(np.float32), share, bool(total.sum())
 
-    def tokens(self, text: str | None) -> np.ndarray:
-        """Expected tokens of a text for each domain; they add up to its words."""
+    def tokens(self, text: str | None, vocabulary: tuple[str, str] | None = None) -> np.ndarray:
+        """Expected tokens of a text for each domain; they add up to its ids (or words)."""
         slots = slots_of(text)
-        if not len(slots) or not self.trained:
+        if not (text if vocabulary else len(slots)) or not self.trained:
             return np.zeros(len(self.names))
         starts = np.arange(0, len(slots), RUN)
-        logs = np.add.reduceat(self.logs[slots].astype(np.float64), starts, axis=0) + self.share
+        logs = self.share[None]
+        if len(slots):
+            logs = logs + np.add.reduceat(self.logs[slots].astype(np.float64), starts, axis=0)
         posterior = np.exp(logs - logs.max(axis=1, keepdims=True))
         posterior /= posterior.sum(axis=1, keepdims=True)
-        lengths = np.diff(np.append(starts, len(slots)))
+        lengths = (run_ids(text, vocabulary) if vocabulary
+                   else np.diff(np.append(starts, len(slots))))
         return lengths @ posterior
 
 
-def memberships(docs: DataFrame, domains: Domains) -> DataFrame:
+def memberships(docs: DataFrame, domains: Domains,
+                vocabulary: tuple[str, str] | None = None) -> DataFrame:
     """``row, doc_id, n_tokens`` and expected ``tokens`` for each domain of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(domains)
 
     @F.pandas_udf("array<double>")
     def tokens(text: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.tokens(t) for t in text])
+        return pd.Series([shared.value.tokens(t, vocabulary) for t in text])
 
     found = docs.select("row", "doc_id", tokens("text").alias("tokens"))
     return found.withColumn("n_tokens", F.aggregate("tokens", F.lit(0.0), lambda a, x: a + x))
@@ -189,13 +215,14 @@ def with_rates(members: DataFrame, plan: Plan, width: int) -> DataFrame:
 
 
 def rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
-          least: float = 0.0, cover: bool = False) -> tuple[DataFrame, list[str]]:
+          least: float = 0.0, cover: bool = False,
+          vocabulary: tuple[str, str] | None = None) -> tuple[DataFrame, list[str]]:
     """Rates of all documents (``docs`` has ``row, doc_id, text``) and the domain names."""
     names = sorted(targets)
     weights = np.array([max(0.0, targets[name]) for name in names])
     weights = weights / max(weights.sum(), 1e-300)
     domains = Domains(learn(docs, labelled).toPandas(), names)
-    members = staged(memberships(docs, domains), "memberships")
+    members = staged(memberships(docs, domains, vocabulary), "memberships")
     plan = solve(members, weights, least, cover)
     return with_rates(members, plan, len(names)), names
 

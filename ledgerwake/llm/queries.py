@@ -117,7 +117,7 @@ def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op3_domain_mix(spark, sf_dir):
     docs = documents(spark, sf_dir)
     labelled = labelled_domains(docs, read_table(spark, sf_dir, "labels"))
-    return domain_mix.table(docs, labelled, TARGETS)
+    return domain_mix.table(docs, labelled, TARGETS, vocabulary=RANKS)
 
 
 @query

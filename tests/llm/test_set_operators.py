@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -236,6 +237,27 @@ def test_rates_meet_the_targets(corpus):
     assert all(sizes[r.doc_id] == r.n_tokens for r in got if r.doc_id and r.doc_id < 10_000)
 
 
+def test_mix_weighs_ids_of_a_vocabulary(spark, corpus):
+    """Lengths are ids, run by run, and the targets are met in ids."""
+    coder = Tokenizer.from_file(queries.VOCABULARY)
+    coder.encode_special_tokens = True
+    size = lambda t: len(coder.encode(t or "", add_special_tokens=False).ids)
+    for text in (" \t\n", "a \u00a0" * 200, "x\n\n y  " * 150, "one two " * 99, "日本 語 " * 70):
+        runs = domain_mix.run_ids(text, queries.RANKS)
+        assert runs.sum() == pytest.approx(size(text))
+        assert len(runs) == max(1, -(-len(cases.words_of(text)) // domain_mix.RUN))
+    rows = queries.QUERIES["op3_domain_mix"](spark, cases.SF_DIR).collect()
+    texts = cases.pairs(spark.read.parquet(f"{cases.SF_DIR}/documents.parquet"))
+    assert Counter((r.doc_id, r.n_tokens) for r in rows) == Counter(
+        (i, size(t)) for i, t in texts)
+    mass = {d: sum(r.rate * r.n_tokens * r[f"share_{d}"] for r in rows) for d in queries.TARGETS}
+    for d, want in queries.TARGETS.items():
+        assert mass[d] / sum(mass.values()) == pytest.approx(want, abs=0.01)
+    blank = domain_mix.Domains(pd.DataFrame({"domain": ["a", "b"], "slot": [1, 2], "n": [3, 1]}),
+                               ["a", "b"]).tokens(" \t\n", queries.RANKS)
+    assert blank.tolist() == pytest.approx([0.75 * size(" \t\n"), 0.25 * size(" \t\n")])
+
+
 def test_covering_mix_drops_nothing(corpus):
     targets = {"de": 0.25, "en": 0.25, "es": 0.25, "fr": 0.25, "xx": 0.0}
     mixed = domain_mix.mixed_corpus(corpus, labelled(corpus), targets, least=1.0, cover=True)
