@@ -7,11 +7,16 @@ The base kinds are three patterns; their spans always stay:
 * ``hex``: 24 or more lower-case hexadecimal digits.
 
 Each is matched leftmost and without overlap, and a match that is too short is dropped after it
-has used up its characters. The fourth kind, ``random``, is the method: a run of 20 or more
-characters of a credential alphabet that a byte-pair vocabulary needs many tokens for, at most
-``MAX_RATIO`` characters for each. Prose in any spelling costs fewer tokens than a random string.
-Known digests (hexadecimal of the usual lengths) and identifiers (UUIDs, paths, words joined by
-``_``, ``-``, ``.`` or capitals) are not random, nor is what overlaps a base span.
+has used up its characters. The fourth kind, ``random``, is the method: 20 or more characters of
+a credential alphabet that a byte-pair vocabulary needs many tokens for, at most ``MAX_RATIO``
+characters for each. Prose in any spelling costs fewer tokens than a random string. A run of that
+alphabet is taken without the base spans in it, first as a whole and then, so that readable
+neighbours hide nothing, in stretches of parts between ``_ . / = + -`` that are each at or below
+the ratio.
+
+Known by form, and never random, are digests (hexadecimal of the usual lengths), UUIDs, numbers of
+up to 8 digits and parts of up to 3 letters; other parts are identifiers only if their own ratio
+is above ``MAX_RATIO``. A run of known parts and identifiers alone is not random.
 
 Offsets are code points, end exclusive. NULL and empty texts have no spans. Very long texts are
 scanned whole. Repeated rows give repeated results; other columns are ignored.
@@ -42,8 +47,11 @@ MAX_RATIO = 2.0
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}"
                     r"|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-JOINT = re.compile(r"[_./=+-]+")
-NAME = re.compile(r"(?:[A-Z]?[a-z]++(?:[A-Z][a-z]++)*+|[A-Z]++)\d{0,4}|\d{1,8}|")
+PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+")
+SHORT = re.compile(r"[A-Z]?[a-z]{1,3}|[A-Z]{1,3}|[A-Za-z]{1,2}\d|\d{1,8}")
+MIN_RANDOM = 20
+# Characters encoded at once, so that a very long part costs time in proportion.
+SLICE = 4096
 
 Span = tuple[str, int, int]
 
@@ -66,10 +74,15 @@ def listed(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def known(word: str) -> bool:
-    """Whether a string is a digest or an identifier rather than a secret."""
-    return bool(DIGEST.fullmatch(word) or UUID.fullmatch(word)
-                or all(map(NAME.fullmatch, JOINT.split(word))))
+def free(start: int, end: int, taken: list[Span]) -> Iterator[tuple[int, int]]:
+    """What sorted spans leave of ``start`` to ``end``."""
+    for _, a, b in taken:
+        if a < end and start < b:
+            if start < a:
+                yield start, a
+            start = b
+    if start < end:
+        yield start, end
 
 
 class TokenEfficiency:
@@ -86,20 +99,41 @@ class TokenEfficiency:
 
     def ratio(self, text: str) -> float:
         """Characters for each token."""
-        return len(text) / max(1, len(self.encoding.encode_ordinary(text)))
+        tokens = sum(len(self.encoding.encode_ordinary(text[i:i + SLICE]))
+                     for i in range(0, len(text), SLICE))
+        return len(text) / max(1, tokens)
+
+    def random(self, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+        """Spans of random strings in a run of the credential alphabet."""
+        end = start + len(text[start:end].rstrip(".-"))
+        if end - start < MIN_RANDOM:
+            return
+        parts = []
+        for m in PART.finditer(text, start, end):
+            form = DIGEST.fullmatch(m[0]) or UUID.fullmatch(m[0])
+            short = bool(SHORT.fullmatch(m[0]))
+            opaque = not (form or short) and self.ratio(m[0]) <= MAX_RATIO
+            parts.append((*m.span(), short, opaque))
+        if not any(opaque for *_, opaque in parts):
+            return
+        if self.ratio(text[start:end]) <= MAX_RATIO:
+            yield start, end
+            return
+        # Short parts belong to a stretch if opaque ones stand on both sides.
+        stretch: list[int] = []
+        for a, b, short, opaque in [*parts, (end, end, False, False)]:
+            if opaque:
+                stretch = [stretch[0] if stretch else a, b]
+            elif stretch and not short:
+                a, b = stretch
+                stretch = []
+                if b - a >= MIN_RANDOM and self.ratio(text[a:b]) <= MAX_RATIO:
+                    yield a, b
 
     def spans(self, text: str, taken: list[Span]) -> list[Span]:
-        found = []
-        for m in CANDIDATE.finditer(text):
-            start, end = m.span()
-            word = m[0].rstrip(".-")
-            if any(a < end and start < b for _, a, b in taken):
-                continue
-            if len(word) < 20 or known(word):
-                continue
-            if self.ratio(word) <= MAX_RATIO:
-                found.append(("random", start, start + len(word)))
-        return found
+        return [("random", a, b) for m in CANDIDATE.finditer(text)
+                for start, end in free(*m.span(), taken)
+                for a, b in self.random(text, start, end)]
 
 
 _scanners: dict[tuple[str, str], TokenEfficiency] = {}
