@@ -12,12 +12,16 @@ the same smallest run form a segment, which holds exactly those windows.
 3. Segments are dealt to shards by their smallest run. Each shard builds a compressed FM-index,
    streams its segments through it by backward search, and reports the windows with a total
    weight of two or more.
+   Runs with more than ``HOT`` different segments, such as those of a frequent line among
+   different neighbours, go to no shard: each of their windows is keyed by the run and its own
+   hash and counted, which spreads a run over all tasks.
 4. The reports go back to all documents with such a segment, and the words under them go.
 
 NULL and blank texts have no words. A text shorter than a window keeps everything. Windows are
 judged on the input, so two copies of a passage both lose it. Rows repeated in full are rows of
 their own and repeat each other. Other columns are ignored. Words are compared by 64-bit hashes
-until step 2 and by 40 bits each within a shard, all words of a window at once.
+until step 2 and by 40 bits each within a shard, all words of a window at once; windows of a hot
+run by one 64-bit hash.
 """
 
 from __future__ import annotations
@@ -49,6 +53,8 @@ GRAM = 8
 # Words for each shard, on average.
 SHARD_WORDS = 1 << 18
 SYMBOL_BYTES = 5
+# Different segments of one smallest run that a shard takes.
+HOT = 1 << 12
 
 
 def segments(words: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -228,20 +234,56 @@ def trimmed(docs: DataFrame, reports: DataFrame, window: int) -> DataFrame:
     return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW,
-                     shard_words: int = SHARD_WORDS) -> DataFrame:
+def hot_windows(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
+    """``row, start, bits`` for segments of hot runs, window by window."""
+    # Bounded by the words of the document.
+    lists = found.groupBy("row").agg(F.collect_set("start").alias("starts"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpress = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for row, z, starts in zip(batch["row"], batch["z"], batch["starts"], strict=True):
+                words = word_hashes(unpress(z).decode("utf-8", "surrogatepass"))
+                start, count, run, _ = segments(words, window)
+                hot = np.isin(start, starts)
+                start, count, run = start[hot], count[hot], run[hot]
+                place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                first = np.repeat(start, count)
+                yield pd.DataFrame({
+                    "run": np.repeat(run, count).view(np.int64),
+                    "hash": gram_hashes(words, window)[first + place].view(np.int64),
+                    "row": row, "start": first, "place": place})
+
+    joined = compressed(docs).join(lists.hint("merge"), "row")
+    windows = staged(joined.mapInPandas(
+        cut, "run bigint, hash bigint, row bigint, start int, place int"), "hot-windows")
+    many = windows.groupBy("run", "hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return windows.join(many, ["run", "hash"]).groupBy("row", "start").agg(
+        F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
+
+
+def repeated_windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS,
+                     hot: int = HOT) -> DataFrame:
     """``row, start, bits``: bit ``i`` tells that the window at word ``start + i`` repeats."""
     found = staged(repeated(instances(docs, window)), "segments")
     distinct = staged(found.groupBy("run", "content").agg(
         F.count(F.lit(1)).alias("weight"), F.min("row").alias("row")), "distinct")
+    runs = staged(distinct.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") > hot).select("run"), "hot-runs")
+    crowded = not runs.isEmpty()
+    if crowded:
+        distinct = distinct.join(runs, "run", "left_anti")
     words = with_words(docs, distinct, window)
     shards = max(1, distinct.count() * (window + window // 2) // shard_words)
     dealt = words.withColumn("shard", F.pmod(F.xxhash64("run"), F.lit(shards)))
     reports = staged(judged(dealt, window), "reports")
-    return found.join(reports, ["run", "content"]).select("row", "start", "bits")
+    out = found.join(reports, ["run", "content"]).select("row", "start", "bits")
+    if crowded:
+        out = out.unionByName(hot_windows(docs, found.join(runs, "run", "left_semi"), window))
+    return out
 
 
-def table(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def table(docs: DataFrame, window: int = WINDOW, **options) -> DataFrame:
     """Words, removed words and checksum of what is kept, for every document."""
     keyed = with_row(docs, "doc_id", "text")
-    return trimmed(keyed, repeated_windows(keyed, window), window)
+    return trimmed(keyed, repeated_windows(keyed, window, **options), window)

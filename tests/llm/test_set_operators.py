@@ -75,6 +75,27 @@ def test_substring_dedup(corpus, window):
     assert sum(r[2] for r in want) > 500
 
 
+def test_hot_runs_go_to_no_shard(spark, monkeypatch, tmp_path):
+    """A line and a passage in all documents, with other neighbours in each."""
+    draw = random.Random(8)
+    some = lambda n: [f"n{draw.randrange(10 ** 9)}" for _ in range(n)]
+    line, passage = some(25), some(60)
+    rows = [(i, " ".join([*some(30), *line, *some(30), *passage, *some(i % 40)]))
+            for i in range(60)]
+    path = str(tmp_path / "hot")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    judged, most = substring_dedup.judged, []
+
+    def seen(shards, window):
+        most.append(shards.groupBy("run").count().agg(F.max("count")).first()[0] or 0)
+        return judged(shards, window)
+
+    monkeypatch.setattr(substring_dedup, "judged", seen)
+    got = substring_dedup.table(spark.read.parquet(path), hot=10).collect()
+    assert cases.bag(r[:4] for r in got) == trimmed(rows, 35)
+    assert most[0] <= 10 and sum(r.n_removed for r in got) >= 60 * 60
+
+
 def test_substring_dedup_of_nothing(empty):
     assert substring_dedup.table(empty).count() == 0
 
