@@ -47,5 +47,7 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(mark) == seen:
             break
         seen = tuple(mark)
+    else:
+        raise RuntimeError(f"components still change after {ROUNDS} rounds")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

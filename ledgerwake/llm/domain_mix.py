@@ -22,6 +22,7 @@ through by :func:`mixed_corpus`.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -137,6 +138,7 @@ class Plan:
         self.scale = np.maximum(shares, 1e-9)
         self.goal, self.least = goal, least
         self.steps: list[np.ndarray] = []
+        self.residual = 0.0  # largest share by which a reachable domain is off its goal
 
     def rates(self, posterior: np.ndarray) -> np.ndarray:
         rate = np.ones(len(posterior))
@@ -191,12 +193,17 @@ def solve(members: DataFrame, weights: np.ndarray, least: float = 0.0,
         grow = max(1.0, float(np.max(shares[weights > 0] / weights[weights > 0])))
     plan = Plan(shares, weights * grow, least)
     now = shares
-    for _ in range(STEPS if have.sum() else 0):
-        reachable = shares > 0
-        if np.abs(plan.off(now)[reachable]).max() <= TOLERANCE * grow * weights.max():
-            break
+    if not have.sum():
+        return plan
+    reachable, near = shares > 0, TOLERANCE * grow * weights.max()
+    plan.residual = np.abs(plan.off(now)[reachable]).max()
+    while plan.residual > near and len(plan.steps) < STEPS:
         plan.advance(np.where(reachable, now, plan.goal))
         now = totals(members, plan, width) / total
+        plan.residual = np.abs(plan.off(now)[reachable]).max()
+    if plan.residual > near:
+        warnings.warn(f"mixing stopped after {STEPS} steps; a domain is off its target by "
+                      f"{plan.residual:.4f} of all tokens", stacklevel=2)
     return plan
 
 

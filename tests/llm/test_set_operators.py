@@ -294,6 +294,17 @@ def test_mix_of_nothing_and_of_unknown_domains(corpus, empty):
     assert {(r.rate, r.copies) for r in free.collect()} == {(1.0, 1)}
 
 
+def test_caps_are_told(spark, monkeypatch):
+    monkeypatch.setattr("ledgerwake.llm.components.ROUNDS", 1)
+    with pytest.raises(RuntimeError):
+        components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long"))
+    monkeypatch.setattr(domain_mix, "STEPS", 1)
+    members = spark.createDataFrame([([9.0, 1.0],), ([2.0, 8.0],)], "tokens array<double>")
+    with pytest.warns(UserWarning, match="off its target"):
+        plan = domain_mix.solve(members, np.array([0.1, 0.9]))
+    assert plan.residual > 0 and len(plan.steps) == 1
+
+
 # --- packing -------------------------------------------------------------------------------
 
 def naive(pieces, capacity):
