@@ -15,11 +15,14 @@ from ledgerwake.llm import (
     exact_dedup,
     jaccard_join,
     language,
+    periodic_runs,
     secret_scan,
     site_quality,
     sketches,
     substring_dedup,
     token_files,
+    url_filter,
+    whitening,
 )
 from ledgerwake.llm.common import read_table
 from ledgerwake.llm.ship import ship
@@ -130,6 +133,30 @@ def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.table(documents(spark, sf_dir))
 
 
+@query
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.table(documents(spark, sf_dir))
+
+
+# Verdict, host and beginning of the path.
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+@query
+def op12_url_filter(spark, sf_dir):
+    return url_filter.table(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    return whitening.table(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_substring_dedup(spark, sf_dir):
     return substring_dedup.table(documents(spark, sf_dir))

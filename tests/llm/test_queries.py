@@ -11,7 +11,7 @@ from tests.llm import cases
 from tests.llm.test_set_operators import expected_join
 from tests.llm.test_text_operators import expected_dedup
 
-NUMBERS = range(1, 11)
+NUMBERS = range(1, 14)
 
 
 def test_one_query_for_each_operator():
