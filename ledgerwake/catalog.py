@@ -23,7 +23,7 @@ from ledgerwake.plans import dimensions, facts, intermediate, metrics, pipeline,
 from ledgerwake.plans.checks import CHECKS
 from ledgerwake.schemas import LONG, RAW_PRICES, RAW_TRADES, SIDES, record
 from ledgerwake.sources import landing, market
-from ledgerwake.sources.raw import create_raw_tables, load_raw, with_defaults
+from ledgerwake.sources.raw import create_raw_tables, load_raw
 from ledgerwake.sources.scratch import scratch_dir, staged
 from ledgerwake.streaming import feeds, sinks
 
@@ -461,14 +461,24 @@ def row_counts(spark, sf_dir):
     })
 
 
+def _insert_trades(spark: SparkSession, root: str, rows: DataFrame) -> None:
+    """Insert rows into the declared trade table under ``root``, ingestion time left to it."""
+    database, view = f"raw_{uuid.uuid4().hex}", f"rows_{uuid.uuid4().hex}"
+    create_raw_tables(spark, root, database)
+    named = rows.drop("ingestion_time")
+    named.createOrReplaceTempView(view)
+    columns = ", ".join(f"`{c}`" for c in named.columns)
+    spark.sql(f"INSERT INTO {database}.raw_trades ({columns}) SELECT {columns} FROM {view}")
+    spark.catalog.dropTempView(view)
+    # The catalog forgets the tables; their files stay, as they have a place of their own.
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 @query()
 def raw_landing(spark, sf_dir):
     """Trades appended to the declared landing table by a batch, and loaded from there."""
-    root, database = scratch_dir(spark, "raw"), f"raw_{uuid.uuid4().hex}"
-    create_raw_tables(spark, root, database)
-    market.raw_trades(spark, sf_dir).drop("ingestion_time").withColumn(
-        "ingestion_time", F.lit(None).cast("timestamp")).transform(
-        with_defaults).write.insertInto(f"{database}.raw_trades")
+    root = scratch_dir(spark, "raw")
+    _insert_trades(spark, root, market.raw_trades(spark, sf_dir))
     loaded = load_raw(spark, root)
     counts = agg.counts({name: df for name, df in loaded.items() if name != "raw_trades"})
     others = counts.agg(F.sum("row_count")).first()[0]
@@ -544,17 +554,22 @@ def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replayed(
-    spark: SparkSession, name: str, *loads: DataFrame, files: int | None = None
+    spark: SparkSession, name: str, *loads: DataFrame, files: int | None = None,
+    root: str | None = None, compacted: int = 0,
 ) -> str:
     """Run a feed over recorded messages until they are used up; return its folder.
 
-    Each load has a checkpoint of its own and lands in the same place.
+    Each load has a checkpoint of its own and lands in the same place. After the first
+    ``compacted`` loads the log is compacted.
     """
-    out = scratch_dir(spark, f"landed-{name}")
-    for load in loads:
+    table = feeds.FEEDS[name].table
+    out = f"{root or scratch_dir(spark, f'landed-{name}')}/{table.name}"
+    for position, load in enumerate(loads):
         sinks.start_feed(
             spark, feeds.FEEDS[name], _recorded(load, name, files), out,
             scratch_dir(spark, f"checkpoint-{name}"), sinks.ONCE).awaitTermination()
+        if position < compacted:
+            landing.compact(spark, out, table)
     return out
 
 
@@ -583,21 +598,21 @@ def stream_replay_trades(spark, sf_dir):
 def stream_replay_prices(spark, sf_dir):
     """Ticks streamed into the upserted table."""
     out = _replayed(spark, "prices", _price_messages(spark, sf_dir))
-    return landing.upserted(spark, out, feeds.FEEDS["prices"].table)
+    return landing.resolved(spark, out, feeds.FEEDS["prices"].table)
 
 
 @query()
 def stream_replay_prices_batches(spark, sf_dir):
     """The same in five batches, cut across the order of the broker times."""
     out = _replayed(spark, "prices", _price_messages(spark, sf_dir), files=5)
-    return landing.upserted(spark, out, feeds.FEEDS["prices"].table)
+    return landing.resolved(spark, out, feeds.FEEDS["prices"].table)
 
 
 @query()
 def stream_two_backfills_prices(spark, sf_dir):
     """Two checkpoints, one table."""
     out = _replayed(spark, "prices", *_halves(_price_messages(spark, sf_dir)))
-    return landing.upserted(spark, out, feeds.FEEDS["prices"].table)
+    return landing.resolved(spark, out, feeds.FEEDS["prices"].table)
 
 
 @query()
@@ -617,7 +632,50 @@ def stream_two_backfills_trades(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """Every trade message delivered twice, in several batches, read once."""
     out = _replayed(spark, "trades", _twice(trade_messages(spark, sf_dir)), files=3)
-    return landing.unique_rows(spark, out, feeds.FEEDS["trades"].table)
+    return landing.resolved(spark, out, feeds.FEEDS["trades"].table)
+
+
+def _thirds(messages: DataFrame) -> list[DataFrame]:
+    return [messages.filter(F.pmod("offset", F.lit(3)) == rest) for rest in range(3)]
+
+
+@query()
+def stream_compacted_trades(spark, sf_dir):
+    """Every trade message delivered twice; landed, compacted, landed, compacted, landed, read.
+
+    The last load repeats keys of the base with earlier broker times, too.
+    """
+    once = trade_messages(spark, sf_dir)
+    first, second, third = _thirds(_twice(once))
+    early = once.withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 1 SECOND"))
+    third = third.unionByName(early.filter("partition % 2 = 0"))
+    out = _replayed(spark, "trades", first, second, third, compacted=2)
+    return landing.resolved(spark, out, feeds.FEEDS["trades"].table)
+
+
+@query()
+def stream_compacted_prices(spark, sf_dir):
+    """Ticks upserted over two bases."""
+    out = _replayed(spark, "prices", *_thirds(_price_messages(spark, sf_dir)), compacted=2)
+    return landing.resolved(spark, out, feeds.FEEDS["prices"].table)
+
+
+@query()
+def raw_landing_mixed(spark, sf_dir):
+    """A table that batches insert into and two streams land in, with keys of each in the others.
+
+    Rows of the batch count as older: they have the version that the streams do not set.
+    """
+    root = scratch_dir(spark, "mixed")
+    messages = trade_messages(spark, sf_dir)
+    _replayed(spark, "trades", *_halves(messages), root=root, compacted=1)
+    trades = market.raw_trades(spark, sf_dir)
+    early = trades.filter("quantity < 20").withColumns(
+        {"side": F.upper("side"), "event_version": F.lit("batch")})
+    _insert_trades(spark, root, early.filter("quantity < 10"))
+    _replayed(spark, "trades", _twice(messages), root=root)
+    _insert_trades(spark, root, early.filter("quantity >= 10"))
+    return load_raw(spark, root)["raw_trades"]
 
 
 def _verdicts(spark: SparkSession, out: str) -> DataFrame:

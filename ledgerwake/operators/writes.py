@@ -35,6 +35,48 @@ def resolve_upserts(
         *key, *[F.col(f"_{'last' if c in newest else 'first'}.{c}").alias(c) for c in rest])
 
 
+def key_states(
+    log: DataFrame, key: Sequence[str], order: Sequence[str], overwritten: Sequence[str] = ()
+) -> DataFrame:
+    """What has to be kept of a log so that it can be resolved together with later rows.
+
+    One row for each key in the log's columns: the resolved row and the place of the oldest row.
+    If columns are overwritten, ``last_*`` holds the place of the newest row as well.
+    """
+    kept = [c for c in log.columns if c not in key and c not in order and c not in overwritten]
+    ends = [F.min(F.struct(*order, *kept)).alias("_first")]
+    ends += [F.max(F.struct(*order, *overwritten)).alias("_last")] if overwritten else []
+    states = log.groupBy(*key).agg(*ends)
+    source = {c: F.col(c) for c in key} | {c: F.col(f"_first.{c}") for c in (*order, *kept)}
+    source |= {c: F.col(f"_last.{c}") for c in overwritten}
+    places = [F.col(f"_last.{c}").alias(f"last_{c}") for c in order] if overwritten else []
+    return states.select(*[source[c].alias(c) for c in log.columns], *places)
+
+
+def merge_states(
+    base: DataFrame, fresh: DataFrame, key: Sequence[str], order: Sequence[str],
+    overwritten: Sequence[str] = (),
+) -> DataFrame:
+    """The states of a log that has states ``base`` and has since taken in rows of ``fresh``.
+
+    A join by key: if ``base`` is bucketed by it, only ``fresh`` is shuffled.
+    """
+    b, f = base.alias("b"), fresh.alias("f")
+    joined = b.join(f, [F.col(f"b.{c}") == F.col(f"f.{c}") for c in key], "full")
+
+    def place(side: str, prefix: str = "") -> Column:
+        return F.struct(*[F.col(f"{side}.{prefix}{c}").alias(c) for c in order])
+
+    alone, found = F.col(f"b.{key[0]}").isNull(), F.col(f"f.{key[0]}").isNotNull()
+    first = alone | (found & (place("f") < place("b")))
+    last = alone | (found & (place("f", "last_") > place("b", "last_"))) if overwritten else first
+    newest = {*overwritten, *[f"last_{c}" for c in order]}
+    return joined.select(*[
+        F.coalesce(f"b.{c}", f"f.{c}").alias(c) if c in key
+        else F.when(last if c in newest else first, F.col(f"f.{c}")).otherwise(
+            F.col(f"b.{c}")).alias(c) for c in base.columns])
+
+
 def upsert_latest(
     existing: DataFrame,
     batch: DataFrame,

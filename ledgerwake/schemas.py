@@ -63,13 +63,17 @@ def one_of(column: str, values: tuple[str, ...]) -> str:
 
 @dataclass(frozen=True)
 class RawTable:
-    """A landing table: declared schema, primary key, NOT NULL columns and CHECKs."""
+    """A landing table: declared schema, primary key, NOT NULL columns and CHECKs.
+
+    A second row of a key is refused, or, if there are ``overwritten`` columns, replaces them.
+    """
 
     name: str
     schema: T.StructType
     key: tuple[str, ...]
     required: tuple[str, ...]
     checks: dict[str, str] = field(default_factory=dict)
+    overwritten: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -93,6 +97,7 @@ RAW_PRICES = RawTable(
     key=("symbol", "timestamp"),
     required=("symbol", "price", "timestamp"),
     checks={"price": "price > 0"},
+    overwritten=("price",),
 )
 RAW_CASH_EVENTS = RawTable(
     name="raw_cash_events",

@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwake.schemas import RAW_PRICES, RAW_TABLES, RawTable
+from ledgerwake.schemas import RAW_TABLES, RawTable
 from ledgerwake.sources import landing
 
+
 def create_raw_tables(spark: SparkSession, root: str, database: str = "raw") -> None:
-    """Declare the landing tables in the catalog, once, for writers that append in batches."""
+    """Declare the landing tables in the catalog, once, for writers that insert in batches.
+
+    The catalog knows the default of ``ingestion_time``: an ``INSERT`` that does not name the
+    column is stamped. NOT NULL is declared as well; Spark records it for these tables, and what
+    breaks it is found by the data tests.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in RAW_TABLES.values():
         columns = ", ".join(
-            f"`{field.name}` {field.dataType.simpleString()}" for field in table.schema)
+            f"`{field.name}` {field.dataType.simpleString()}"
+            + (" NOT NULL" if field.name in table.required else "")
+            + (" DEFAULT current_timestamp()" if field.name == "ingestion_time" else "")
+            for field in table.schema)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{table.name} ({columns}) "
             f"USING parquet LOCATION '{root}/{table.name}'")
@@ -22,19 +31,18 @@ def create_raw_tables(spark: SparkSession, root: str, database: str = "raw") ->
 def load_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The landing tables under ``root``, whichever batch or stream wrote them.
 
-    A log is resolved to its primary key on the way: prices by upsert, trades and cash by
-    their first arrival. A table that batches wrote is read as it is.
+    Where a stream has landed, its log is resolved to the primary key together with what batch
+    writers inserted into the same table, which counts as older: prices by upsert, trades and
+    cash by their first arrival. A table that only batches wrote is read as it is.
     """
     loaded = {}
     for name, table in RAW_TABLES.items():
         path = f"{root}/{name}"
         if landing.runs(spark, path):
-            resolve = landing.upserted if table is RAW_PRICES else landing.unique_rows
-            loaded[name] = resolve(spark, path, table)
+            loaded[name] = landing.resolved(spark, path, table)
             continue
-        found = landing.stored(spark, path, table.schema)
-        loaded[name] = spark.createDataFrame([], table.schema) if found is None \
-            else found.select(*table.columns)
+        found = landing.inserted(spark, path, table)
+        loaded[name] = spark.createDataFrame([], table.schema) if found is None else found
     return loaded
 
 

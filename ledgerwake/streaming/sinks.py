@@ -1,8 +1,9 @@
 """The streaming sink: good and bad messages go to one append-only landing log.
 
-The native file sink commits each micro-batch exactly once together with the checkpoint. What
-the rows of a key add up to (first arrival, newest price) is decided by the readers in
-:mod:`ledgerwake.sources.landing`, over all runs and batches. No rows reach the driver.
+Each micro-batch is written to a folder of its own and counts once that is complete, so a batch
+that is delivered again after a failure lands once. What the rows of a key add up to (first
+arrival, newest price) is decided by the readers in :mod:`ledgerwake.sources.landing`, over all
+runs and batches. No rows reach the driver.
 """
 
 from __future__ import annotations
@@ -12,23 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwake.operators.writes import tag_violations
-from ledgerwake.sources.landing import BAD, OK, run_folder
+from ledgerwake.sources.landing import BAD, OK, run_folder, write_batch
 from ledgerwake.streaming.feeds import Feed, decode_json, read_events
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 ONCE = {"availableNow": True}
 
 
-def append_sink(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    trigger: dict = EVERY_10_SECONDS,
-    partition_by: tuple[str, ...] = (),
+def land(
+    df: DataFrame, folder: str, checkpoint: str, trigger: dict = EVERY_10_SECONDS, name: str = "",
 ) -> StreamingQuery:
-    writer = df.writeStream.format("parquet").outputMode("append") \
-        .option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger)
-    return (writer.partitionBy(*partition_by) if partition_by else writer).start()
+    """Write each micro-batch of ``df``, which has a ``verdict``, below ``folder``."""
+    writer = df.writeStream.foreachBatch(
+        lambda batch, number: write_batch(batch, folder, number)).option(
+        "checkpointLocation", checkpoint).trigger(**trigger)
+    return (writer.queryName(name) if name else writer).start()
 
 
 def start_feed(
@@ -38,6 +37,7 @@ def start_feed(
     path: str,
     checkpoint: str,
     trigger: dict = EVERY_10_SECONDS,
+    name: str = "",
 ) -> StreamingQuery:
     """Run one feed: source, decode, conform, verdict, append.
 
@@ -51,5 +51,4 @@ def start_feed(
         .withColumn("payload", F.when(F.col("violation").isNotNull(), F.col("payload")))
         .withColumn("verdict", F.when(F.col("violation").isNull(), OK).otherwise(BAD))
     )
-    return append_sink(
-        judged, run_folder(spark, path, checkpoint), checkpoint, trigger, ("verdict",))
+    return land(judged, run_folder(spark, path, checkpoint), checkpoint, trigger, name)

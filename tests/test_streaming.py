@@ -118,7 +118,7 @@ def test_copies_land_and_are_read_once_however_late(spark, tmp_path, topic):
     topic.send(trade(3), minutes=-100_000)
     out, _ = land(spark, tmp_path, topic)
     assert landing.landed(spark, out, RAW_TRADES).count() == 5
-    assert rows(landing.unique_rows(spark, out, RAW_TRADES), "trade_id", "price") == [
+    assert rows(landing.resolved(spark, out, RAW_TRADES), "trade_id", "price") == [
         ("t1", 2.0), ("t2", 2.0), ("t3", 2.0)]
     assert rows(landing.tagged(spark, out, RAW_TRADES), "trade_id", "price", "is_new") == [
         ("t1", 2.0, False), ("t1", 2.0, True), ("t1", 9.0, False), ("t2", 2.0, True),
@@ -178,14 +178,14 @@ def test_the_result_does_not_depend_on_where_batches_are_cut(spark, tmp_path, to
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) >= 4
     assert len([p for p in whole.recentProgress if p["numInputRows"]]) == 1
-    read = [rows(landing.upserted(spark, path, PRICES.table), "symbol", "price", "source")
+    read = [rows(landing.resolved(spark, path, PRICES.table), "symbol", "price", "source")
             for path in (out, cut)]
     assert read[0] == read[1] == [("X", 1.0, "s3"), ("Y", 10.0, None)]
 
 
 def test_a_batch_reads_and_writes_its_own_rows_only(spark, tmp_path, topic):
     def files():
-        return {str(p) for p in (tmp_path / "root").rglob("*.parquet") if "run-" in str(p)}
+        return {str(p) for p in (tmp_path / "root").rglob("*.parquet") if "run=" in str(p)}
 
     for n in range(4):
         before = files()
