@@ -409,7 +409,8 @@ def qc_summary(spark, sf_dir):
         "raw_prices": staged(market.raw_prices(spark, sf_dir), "raw_prices"),
         "raw_cash_events": staged(market.raw_cash_events(spark, sf_dir), "raw_cash_events"),
     }
-    return pipeline.check(pipeline.run(spark, raw, scratch_dir(spark, "models")))
+    return pipeline.check(pipeline.run(
+        spark, raw, scratch_dir(spark, "models"), layers_as={"metrics": pipeline.TABLE}))
 
 
 # --- writes ------------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerwake.operators.sets import union_all
@@ -65,6 +65,35 @@ def holds(df: DataFrame, expression: str) -> DataFrame:
     return df.filter(~F.expr(expression))
 
 
+@dataclass(frozen=True)
+class Observed:
+    """Row-level checks of one model that are counted while its rows pass by."""
+
+    checks: tuple[Check, ...]
+    counts: Observation
+
+    def failures(self) -> dict[Check, int]:
+        """Wait for the job that the rows pass through, and give its counts."""
+        found = self.counts.get
+        return {check: found[f"c{i}"] for i, check in enumerate(self.checks)}
+
+
+def observed(df: DataFrame, checks: Iterable[Check]) -> tuple[DataFrame, Observed | None]:
+    """``df`` with its row-level checks counted by the first job that runs it.
+
+    The counts come out of a job that writes the rows, or a table made of them, so they cost no
+    scan of their own. If Spark has to repeat finished tasks of a lost executor, their failures
+    are counted again; no failure stays none.
+    """
+    own = tuple(check for check in checks if check.kind != "unique")
+    if not own:
+        return df, None
+    counts = Observation()
+    return df.observe(counts, *[
+        F.expr(f"count_if({check.breaks()})").alias(f"c{i}") for i, check in enumerate(own)
+    ]), Observed(own, counts)
+
+
 def _row_level(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row-level checks of one model in a single pass and a one-row result.
 
@@ -77,22 +106,43 @@ def _row_level(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return totals.selectExpr(f"inline(array({rows}))")
 
 
-def _unique(df: DataFrame, check: Check) -> DataFrame:
-    repeated = unique(df, [check.column]).selectExpr("count(*) AS n")
-    return repeated.selectExpr(f"inline(array({check.summary('n')}))")
+def _unique(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """All unique checks of one key column, over whichever models, by one grouping of the key."""
+    column = checks[0].column
+    keys = union_all([
+        models[check.model].select(F.col(column).alias("key"), F.lit(i).alias("model"))
+        for i, check in enumerate(checks)]).filter("key IS NOT NULL")
+    held = keys.groupBy("key").agg(*[
+        F.count_if(F.col("model") == i).alias(f"n{i}") for i in range(len(checks))])
+    repeated = held.selectExpr(*[f"count_if(n{i} > 1) AS c{i}" for i in range(len(checks))])
+    rows = ", ".join(check.summary(f"c{i}") for i, check in enumerate(checks))
+    return repeated.selectExpr(f"inline(array({rows}))")
 
 
-def run_checks(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+def run_checks(
+    models: Mapping[str, DataFrame], checks: Iterable[Check],
+    counted: Mapping[Check, int] | None = None,
+) -> DataFrame:
     """One row per check: model, column, kind and number of failures.
 
-    Row-level checks never shuffle rows; a unique check shuffles its key column only.
+    Checks in ``counted`` have been counted while their model was written. Of the others, all
+    row-level checks of a model are one scan without a shuffle, and all unique checks of a key
+    column one shuffle of that column, however many models hold it.
     """
+    counted = counted or {}
     checks = list(checks)
+    open_ = [check for check in checks if check not in counted]
     parts = []
-    for model in dict.fromkeys(check.model for check in checks):
-        own = [check for check in checks if check.model == model]
-        by_row = [check for check in own if check.kind != "unique"]
+    for model in dict.fromkeys(check.model for check in open_):
+        by_row = [check for check in open_ if check.model == model and check.kind != "unique"]
         if by_row:
             parts.append(_row_level(models[model], by_row))
-        parts.extend(_unique(models[model], check) for check in own if check.kind == "unique")
+    unique_ = [check for check in open_ if check.kind == "unique"]
+    for column in dict.fromkeys(check.column for check in unique_):
+        parts.append(_unique(models, [check for check in unique_ if check.column == column]))
+    known = ", ".join(
+        check.summary(f"{counted[check]}L") for check in checks if check in counted)
+    if known:
+        spark = next(iter(models.values())).sparkSession
+        parts.append(spark.range(1).selectExpr(f"inline(array({known}))"))
     return union_all(parts)

@@ -8,10 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwake.operators.quality import run_checks
+from ledgerwake.operators import quality
+from ledgerwake.operators.quality import Check, Observed
 from ledgerwake.params import Params
 from ledgerwake.plans import dimensions, facts, intermediate, metrics, staging
 from ledgerwake.plans.checks import CHECKS
+from ledgerwake.sources import files
 
 Model = Callable[["Models"], DataFrame]
 
@@ -56,6 +58,12 @@ LAYERS: dict[str, tuple[str, dict[str, Model]]] = {
             m["daily_returns"], m.params),
     }),
 }
+# Views whose rows all pass through a table as it is written, inputs first.
+PASSING = {
+    "fact_trades": ("raw_trades", "stg_trades"),
+    "int_daily_prices": ("raw_prices", "stg_prices"),
+    "int_cash_balances": ("raw_cash_events", "stg_cash_events"),
+}
 MODEL_NAMES = [name for _, models in LAYERS.values() for name in models]
 
 
@@ -67,6 +75,8 @@ class Models:
     ):
         self.spark, self.params = spark, params
         self._frames: dict[str, DataFrame] = dict(raw)
+        # Row-level checks that were counted while a table was written.
+        self.counted: dict[Check, int] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -74,6 +84,21 @@ class Models:
             self._frames[name] = define(self)
         return self._frames[name]
 
+    def observed(self, name: str) -> tuple[DataFrame, list[Observed]]:
+        """A table to write, with the checks on it and on what it is made of counted on the way."""
+        inner = Models(self.spark, self._frames, self.params)
+        passing = PASSING.get(name, ())
+        for model in passing:
+            if not model.startswith("raw_"):
+                inner._frames.pop(model, None)  # to be made anew, of the observed rows
+        inner._frames.pop(name, None)
+        watched = []
+        for model in (*passing, name):
+            df, seen = quality.observed(inner[model], [c for c in CHECKS if c.model == model])
+            inner.replace(model, df)
+            watched += [seen] if seen else []
+        return inner[name], watched
+
     def replace(self, name: str, df: DataFrame) -> None:
         """Let later models read ``df`` (say, a written table) under this name."""
         self._frames[name] = df
@@ -126,14 +151,11 @@ def materialize(
 
 def _retire(spark: SparkSession, folder: str, keep: int) -> None:
     """Delete all complete builds in a model's folder but the newest ``keep``."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(folder)
-    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    builds = [f for f in store.listStatus(where) if f.getPath().getName().startswith("build-")
-              and store.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
-    builds.sort(key=lambda f: f.getModificationTime(), reverse=True)
+    builds = [mark.removesuffix("/_SUCCESS")
+              for mark in files.matching(spark, f"{folder}/build-*/_SUCCESS")]
+    builds.sort(key=lambda build: files.modified(spark, build), reverse=True)
     for old in builds[max(1, keep):]:
-        store.delete(old.getPath(), True)
+        files.delete(spark, old)
 
 
 def run(
@@ -156,9 +178,13 @@ def run(
 
     def store(layer: str, how: str, name: str) -> DataFrame:
         database = f"{database_prefix}{layer}" if database_prefix else ""
-        return materialize(
-            models[name], name, how, f"{root}/{layer}", database,
+        df, watched = models.observed(name) if how == TABLE else (models[name], [])
+        stored = materialize(
+            df, name, how, f"{root}/{layer}", database,
             (partition_by or {}).get(name, ()), keep_builds)
+        for seen in watched:
+            models.counted |= seen.failures()
+        return stored
 
     # Tables of a layer depend on earlier layers only, so their jobs can share the cluster.
     with ThreadPoolExecutor(threads) as pool:
@@ -171,5 +197,5 @@ def run(
 
 
 def check(models: Models) -> DataFrame:
-    """Run all declared data tests against the models."""
-    return run_checks({c.model: models[c.model] for c in CHECKS}, CHECKS)
+    """All declared data tests; those counted while tables were written are not run again."""
+    return quality.run_checks({c.model: models[c.model] for c in CHECKS}, CHECKS, models.counted)

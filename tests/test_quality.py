@@ -77,3 +77,43 @@ def test_pipeline_writes_tables_and_passes_all_checks(spark, tmp_path):
     pipeline.run(spark, raw, str(tmp_path), params, database_prefix="desk_",
                  partition_by={"fact_trades": ["trade_date"]})
     assert spark.table("desk_facts.fact_trades").count() == 2
+
+
+def test_checks_are_counted_while_tables_are_written(spark, tmp_path):
+    raw = faulty_raw(spark)
+    models = pipeline.run(
+        spark, raw, str(tmp_path), Params(day(1), day(3)), layers_as={"metrics": pipeline.TABLE})
+    counted = {c for c in CHECKS if c.kind != "unique"}
+    assert models.counted.keys() == counted
+    once = rows(pipeline.check(models), "model", "column_name", "kind", "failures")
+    models.counted = {}
+    assert rows(pipeline.check(models), "model", "column_name", "kind", "failures") == once
+    found = {r[:3]: r[3] for r in once}
+    assert found["raw_trades", "trade_id", "not_null"] == 1
+    assert found["stg_trades", "side", "accepted_values"] == 2
+    assert found["stg_trades", "quantity", "expression_is_true"] == 1
+    assert found["raw_trades", "trade_id", "unique"] == 1
+    assert found["fact_trades", "trade_id", "unique"] == 1
+    assert found["stg_prices", "price", "expression_is_true"] == 0
+    assert found["raw_prices", "symbol", "not_null"] == 1
+
+
+def test_models_that_share_a_key_share_its_grouping(spark):
+    raw = faulty_raw(spark)
+    built = pipeline.build(spark, raw, Params(day(1), day(3)))
+    own = [c for c in CHECKS if c.kind == "unique" and c.column == "trade_id"]
+    assert len(own) == 3
+    found = run_checks({**raw, **built}, own)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(key") == 1
+    assert rows(found, "failures") == [(1,)] * 3
+
+
+def faulty_raw(spark):
+    return {
+        "raw_trades": trades(
+            spark, ("t1", "A", "X", "BUY", 1.0, 2.0, at(1)), ("t1", "A", "X", "HOLD", 1.0, 2.0, at(1)),
+            (None, "A", "X", "BUY", 1.0, 2.0, at(1)), ("t2", "B", "X", "NONE", -1.0, 2.0, at(2))),
+        "raw_prices": prices(spark, ("X", 2.0, at(1)), (None, 1.0, at(1)), ("Y", -1.0, at(2))),
+        "raw_cash_events": cash(spark, ("c1", "A", 5.0, "DEPOSIT", at(1))),
+    }
