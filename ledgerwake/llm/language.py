@@ -3,16 +3,18 @@
 Training adds up n-gram counts for each language and hash bucket, one row for each of them and
 task, so the shuffle does not grow with the texts. The log-probability matrix (languages x
 ``BUCKETS`` floats) is broadcast; its size is fixed by the number of languages, not of documents.
-Scoring is a sparse product in numpy: a document's buckets and counts times the matrix.
+Scoring is a sparse product in numpy: the buckets and counts of a batch of documents times the
+matrix, summed for each document.
 
 NULL texts and texts without a letter are ``und`` with score 0, as is everything if there is
 nothing to learn from. Among equal posteriors the language first in alphabetical order wins.
-Repeated rows are scored alike; other columns are ignored.
+Repeated rows are scored alike; other columns are ignored. Very long texts are counted whole, and an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -23,6 +25,8 @@ from ledgerwake.llm.common import partitions
 
 BUCKETS = 1 << 15
 SIZES = (1, 2, 3)
+# Documents of a sparse product; a long text has no more than ``BUCKETS`` counts.
+BATCH = 32
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
@@ -45,6 +49,13 @@ def ngram_counts(text: str, buckets: int = BUCKETS) -> np.ndarray:
     return total
 
 
+def sparse(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that occur in a text, and how often."""
+    total = ngram_counts(text, buckets)
+    slots = np.flatnonzero(total)
+    return slots, total[slots].astype(np.float64)
+
+
 def train(examples: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Counts for each language and bucket of ``examples(text, lang)``, with documents."""
 
@@ -81,14 +92,21 @@ class Model:
         self.prior = np.log(table[:, -1] / table[:, -1].sum()) if len(table) else table[:, -1]
         self.buckets = buckets
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.langs or not has_letter(text):
-            return UNKNOWN, 0.0
-        counts = ngram_counts(text, self.buckets)
-        slots = np.flatnonzero(counts)
-        logs = self.prior + counts[slots] @ self.matrix[slots].astype(np.float64)
-        best = int(np.argmax(logs))
-        return self.langs[best], float(1.0 / np.exp(logs - logs[best]).sum())
+    def predict(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
+        """Language and posterior of a batch of texts: sparse counts times the matrix."""
+        langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        usable = [i for i, t in enumerate(texts) if isinstance(t, str) and self.langs and has_letter(t)]
+        for part in range(0, len(usable), BATCH):
+            rows = usable[part:part + BATCH]
+            slots, counts = zip(*(sparse(texts[i], self.buckets) for i in rows), strict=True)
+            starts = np.cumsum([0, *map(len, slots[:-1])])
+            weighed = self.matrix[np.concatenate(slots)] * np.concatenate(counts)[:, None]
+            logs = np.add.reduceat(weighed, starts, axis=0, dtype=np.float64) + self.prior
+            best = logs.argmax(axis=1)
+            scores[rows] = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
+            for i, b in zip(rows, best, strict=True):
+                langs[i] = self.langs[b]
+        return langs, scores
 
 
 def fit(examples: DataFrame) -> Model:
@@ -98,18 +116,16 @@ def fit(examples: DataFrame) -> Model:
 
 def predict(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
     """``columns`` of every document with ``lang_pred`` and ``score``; reads ``text`` only."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        for batch in batches:
-            found = [known.predict(text) for text in batch.pop("text")]
-            yield batch.assign(lang_pred=[x[0] for x in found], score=[x[1] for x in found])
+    @F.pandas_udf("struct<lang_pred:string,score:double>")
+    def score(text: pd.Series) -> pd.DataFrame:
+        langs, scores = shared.value.predict(text.tolist())
+        return pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    chosen = docs.select(*columns, F.col("text"))
-    schema = chosen.drop("text").schema.add("lang_pred", "string").add("score", "double")
-    return chosen.mapInPandas(score, schema)
+    # Only the text goes through Python; the other columns stay as they are.
+    return docs.select(*columns, score("text").alias("_found")).select(
+        *columns, "_found.lang_pred", "_found.score")
 
 
 def held_out(key: str = "doc_id"):

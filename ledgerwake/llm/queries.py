@@ -31,7 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The vocabulary whose ids are the tokens of op1, and as ranks and pattern where ids are counted.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+         ("<|endoftext|>",))
 
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}

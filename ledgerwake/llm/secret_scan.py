@@ -27,7 +27,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -50,8 +50,6 @@ UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 SHORT = re.compile(r"[A-Z]?[a-z]{1,3}|[A-Z]{1,3}|[A-Za-z]{1,2}\d|\d{1,8}")
 MIN_RANDOM = 20
-# Characters encoded at once, so that a very long part costs time in proportion.
-SLICE = 4096
 
 Span = tuple[str, int, int]
 
@@ -74,15 +72,21 @@ def listed(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def free(start: int, end: int, taken: list[Span]) -> Iterator[tuple[int, int]]:
-    """What sorted spans leave of ``start`` to ``end``."""
-    for _, a, b in taken:
-        if a < end and start < b:
-            if start < a:
-                yield start, a
-            start = b
-    if start < end:
-        yield start, end
+def free(runs: Iterable[tuple[int, int]], taken: list[Span]) -> Iterator[tuple[int, int]]:
+    """What sorted spans leave of some runs, in one sweep over both; the runs follow each other."""
+    spans = iter(taken)
+    span = next(spans, None)
+    reach = 0  # where the spans that began so far end
+    for start, end in runs:
+        start = max(start, min(reach, end))
+        while span is not None and span[1] < end:
+            if start < span[1]:
+                yield start, span[1]
+            reach = max(reach, span[2])
+            start = max(start, min(reach, end))
+            span = next(spans, None)
+        if start < end:
+            yield start, end
 
 
 class TokenEfficiency:
@@ -99,9 +103,7 @@ class TokenEfficiency:
 
     def ratio(self, text: str) -> float:
         """Characters for each token."""
-        tokens = sum(len(self.encoding.encode_ordinary(text[i:i + SLICE]))
-                     for i in range(0, len(text), SLICE))
-        return len(text) / max(1, tokens)
+        return len(text) / max(1, len(self.encoding.encode_ordinary(text)))
 
     def random(self, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
         """Spans of random strings in a run of the credential alphabet."""
@@ -131,8 +133,8 @@ class TokenEfficiency:
                     yield a, b
 
     def spans(self, text: str, taken: list[Span]) -> list[Span]:
-        return [("random", a, b) for m in CANDIDATE.finditer(text)
-                for start, end in free(*m.span(), taken)
+        runs = (m.span() for m in CANDIDATE.finditer(text))
+        return [("random", a, b) for start, end in free(runs, taken)
                 for a, b in self.random(text, start, end)]
 
 

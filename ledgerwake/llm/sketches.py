@@ -8,7 +8,8 @@ of distinct shingles, all exact as long as a set has no more than ``k`` members.
 
 NULL counts as the empty text, which has no shingle and an empty sketch; a text of fewer than
 ``width`` words is one shingle. Two empty sketches resemble each other fully, an empty and a
-non-empty one not at all.
+non-empty one not at all. Very long texts are sketched whole. Repeated rows and ids follow each other
+by a hash of their text; other columns are ignored, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwake.llm.common import SPACES, staged, text_of
+from ledgerwake.llm.common import SPACES, partitions, staged, text_of
 
 WIDTH = 5
 K = 128
-# Documents for each window partition of the next-document pass, on average.
-BUCKET_ROWS = 1024
+# Ranges of documents for each task of the next-document pass.
+RANGES = 16
 
 
 def words(text: Column) -> Column:
@@ -75,49 +76,47 @@ def printed(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
-def _bucketed(docs: DataFrame, bucket_rows: int) -> DataFrame:
-    """Deal documents into ranges of their id, each with the head of the range after it.
+def _bucketed(docs: DataFrame, ranges: int) -> DataFrame:
+    """Deal documents into ranges of their order, each with the head of the range after it.
 
-    Ids are dealt by equal ranges between the smallest and the largest. Of every range the
-    first document is copied to the range before it, so each document meets its successor
-    without a global sort; the first of all is copied behind the last. One row for each range
-    decides this, so the text is shuffled once.
+    The ranges are those of Spark's sampled sort, so they hold about as many rows each, whatever
+    the ids are. Their heads, one for each range, are an array that every row is looked up in by
+    halving. Rows that equal a head are copied to the range before it (those of the first behind
+    the last), so each document meets its successor and the text is shuffled once.
     """
-    span = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
-                    F.count(F.lit(1)).alias("n")).first()
-    low = 0 if span.low is None else span.low
-    width = max(1, -(-((span.high or 0) - low + 1) * bucket_rows // max(1, span.n)))
-    bucket = F.coalesce(F.floor((F.col("doc_id") - low) / width), F.lit(-1)).cast("bigint")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"), bucket.alias("bucket"),
-                       F.lit(False).alias("copy"))
-    head = F.struct("doc_id", "tie")
-    light = staged(rows.groupBy("bucket").agg(F.min(head).alias("head")), "ranges").select(
-        "bucket", F.col("head.doc_id").alias("doc_id"), F.col("head.tie").alias("tie"))
-    before = F.lag("bucket").over(Window.orderBy("bucket"))  # one row for each range
-    firsts = light.withColumn("to", before)
-    last = light.agg(F.max("bucket")).first()[0]
-    # Staged, so that Spark knows its size and broadcasts it only while it is small.
-    firsts = staged(firsts.select(
-        F.col("bucket").alias("from"), F.col("doc_id").alias("first_id"),
-        F.col("tie").alias("first_tie"), F.coalesce("to", F.lit(last)).alias("to")), "heads")
-    heads = rows.join(
-        firsts, (F.col("bucket") == F.col("from")) & (F.col("tie") == F.col("first_tie"))
-        & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    ).dropDuplicates(["from"])
-    copies = heads.select("doc_id", "text", "tie", F.col("to").alias("bucket"),
-                          F.lit(True).alias("copy"))
-    return rows.unionByName(copies)
+    key = F.struct("doc_id", "tie")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    light = rows.select("doc_id", "tie").repartitionByRange(ranges, "doc_id", "tie").groupBy(
+        F.spark_partition_id().alias("range")).agg(F.min(key).alias("head"))
+    heads = staged(light.select("head"), "heads").agg(
+        F.sort_array(F.collect_list("head")).alias("heads"))
+    found = rows.withColumn("_heads", heads.scalar())
+
+    def half(at: Column, step: Column) -> Column:
+        # The last head that is not behind the row is at ``at`` or later.
+        inside = at + step < F.size("_heads")
+        return F.when(inside & (F.get("_heads", at + step) <= key), at + step).otherwise(at)
+
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, ranges).bit_length() + 1))])
+    found = found.withColumn("bucket", F.aggregate(steps, F.lit(0), half))
+    first = F.get("_heads", F.col("bucket")) == key
+    before = F.when(F.col("bucket") > 0, F.col("bucket")).otherwise(F.size("_heads")) - 1
+    kept = ["doc_id", "text", "tie"]
+    copies = found.filter(first).select(*kept, before.alias("bucket"), F.lit(True).alias("copy"))
+    return found.select(*kept, "bucket", F.lit(False).alias("copy")).unionByName(
+        copies.dropDuplicates(["bucket"]))
 
 
 def with_next(docs: DataFrame, columns: Callable[[DataFrame], DataFrame], *carried: str,
-              bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """Every document with ``next_text`` and the next value of each column in ``carried``.
 
     ``columns`` adds the carried ones. Next is by ascending ``doc_id`` (NULL first, ties by a
     hash of the text); the first follows the last. A document alone is its own successor.
     """
     order = Window.partitionBy("bucket").orderBy("copy", "doc_id", "tie")
-    rows = _bucketed(docs.select("doc_id", text_of().alias("text")), bucket_rows)
+    ranges = ranges or RANGES * partitions(docs.sparkSession)
+    rows = _bucketed(docs.select("doc_id", text_of().alias("text")), ranges)
     following = {"next_" + c: F.lead(c).over(order) for c in ("text", *carried)}
     return columns(rows).withColumns(following).filter(~F.col("copy"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter
 
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from ledgerwake.llm import queries
 from tests.compare import connect, difference
@@ -51,9 +53,9 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     before, after = seen["mix"]
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in before.collect()}
     before, after = seen["pack"]
-    wanted = Counter()
+    wanted, coder = Counter(), Tokenizer.from_file(queries.VOCABULARY)
     for i, t in cases.pairs(before):
-        wanted[i] += len(cases.words_of(t)) + 1
+        wanted[i] += len(coder.encode(t or "", add_special_tokens=False).ids) + 1
     packed = Counter()
     for r in after.collect():
         packed[r.doc_id] += r.n_tokens

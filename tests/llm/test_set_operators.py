@@ -233,6 +233,20 @@ def test_sketch_functions_are_native_and_mergeable(spark):
     assert row.m > 0.95
 
 
+def test_next_documents_whatever_the_ids(spark):
+    """An id far from all others, a hot id, NULLs, and ids beyond the reach of doubles."""
+    ids = [*range(0, 900, 3), 10**15, *[77] * 150, None, None, 2**53 + 1, 2**53, -5]
+    docs = spark.createDataFrame([(i, f"text {n} of {i}") for n, i in enumerate(ids)],
+                                 "doc_id long, text string")
+    got = sketches.with_next(docs, lambda df: df, ranges=40).collect()
+    tie = {r.text: r.tie for r in docs.selectExpr("text", "xxhash64(text) AS tie").collect()}
+    order = sorted(((i is not None, i or 0, tie[t]), t) for i, t in cases.pairs(docs))
+    want = {t: after for (_, t), (_, after) in zip(order, order[1:] + order[:1], strict=True)}
+    assert {r.text: r.next_text for r in got} == want and len(got) == len(ids)
+    buckets = Counter(r.bucket for r in got)
+    assert max(buckets.values()) < len(ids) / 4
+
+
 def test_sketches_of_nothing_and_of_one(spark, empty):
     assert sketches.table(empty).count() == 0
     one = sketches.table(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).first()
@@ -261,9 +275,8 @@ def test_rates_meet_the_targets(corpus):
 def test_mix_weighs_ids_of_a_vocabulary(spark, corpus):
     """Lengths are ids, run by run, and the targets are met in ids."""
     coder = Tokenizer.from_file(queries.VOCABULARY)
-    coder.encode_special_tokens = True
     size = lambda t: len(coder.encode(t or "", add_special_tokens=False).ids)
-    for text in (" \t\n", "a \u00a0" * 200, "x\n\n y  " * 150, "one two " * 99, "日本 語 " * 70):
+    for text in ("a<|endoftext|>b " * 99, " \t\n", "a \u00a0" * 200, "x\n\n y  " * 150, "one two " * 99, "日本 語 " * 70):
         runs = domain_mix.run_ids(text, queries.RANKS)
         assert runs.sum() == pytest.approx(size(text))
         assert len(runs) == max(1, -(-len(cases.words_of(text)) // domain_mix.RUN))
@@ -279,6 +292,32 @@ def test_mix_weighs_ids_of_a_vocabulary(spark, corpus):
     assert blank.tolist() == pytest.approx([0.75 * size(" \t\n"), 0.25 * size(" \t\n")])
 
 
+def test_rates_are_those_of_a_solver_on_one_machine(spark, corpus, tmp_path):
+    """Same tokens, many more gradient steps, all documents at hand."""
+    draw = np.random.default_rng(3)
+    tokens = draw.dirichlet([0.4] * 3, 400) * draw.integers(1, 900, (400, 1))
+    path = str(tmp_path / "members")
+    spark.createDataFrame([(t.tolist(),) for t in tokens], "tokens array<double>").write.parquet(path)
+    members = spark.read.parquet(path)
+    held = tokens.sum(axis=1, keepdims=True)
+    shares = tokens.sum(axis=0) / held.sum()
+    for goal, least, cover in (([0.2, 0.3, 0.5], 0.0, False), ([0.4, 0.3, 0.3], 1.0, True),
+                               ([0.7, 0.2, 0.1], 0.0, False)):
+        goal = np.array(goal)
+        plan = domain_mix.solve(members, goal, least, cover)
+        assert len(plan.steps) <= 80
+        grown = plan.goal.sum()
+        assert (grown == pytest.approx(1.0)) if not cover else grown >= max(1, max(shares / goal))
+        posterior, rate = tokens / held, np.ones(400)
+        for _ in range(5000):
+            off = ((rate @ tokens) / held.sum() - plan.goal) / shares
+            rate = np.maximum(rate - (posterior @ off + 1e-4 * (rate - 1)) / (1 + 1e-4), least)
+        mine, *_ = plan.rates(posterior)
+        assert mine.min() >= least
+        assert np.abs(mine @ tokens / held.sum() - plan.goal).max() < 2e-3
+        assert np.abs(mine - rate) @ held[:, 0] / held.sum() < 0.05
+
+
 def test_covering_mix_drops_nothing(corpus):
     targets = {"de": 0.25, "en": 0.25, "es": 0.25, "fr": 0.25, "xx": 0.0}
     mixed = domain_mix.mixed_corpus(corpus, labelled(corpus), targets, least=1.0, cover=True)
@@ -364,10 +403,10 @@ def test_packing(corpus, by_source):
 def test_packing_by_ids_of_a_vocabulary(spark, corpus):
     """The pack stage and op6 count ids, also of a text without spaces."""
     odd = corpus.filter("doc_id >= 10000 or doc_id < 40 or doc_id is null").unionByName(
-        spark.createDataFrame([(20_000, "日本語の" * 4000), (20_001, "Zq8/Lk2+" * 3000)],
+        spark.createDataFrame([(20_000, "日本語の" * 4000), (20_001, "Zq8/Lk2+" * 3000),
+                               (20_002, "x <|endoftext|> y<|endoftext|>z")],
                               "doc_id long, text string"), allowMissingColumns=True)
     coder = Tokenizer.from_file(queries.VOCABULARY)
-    coder.encode_special_tokens = True
     lengths = Counter()
     for i, t in cases.pairs(odd):
         lengths[i] += len(coder.encode(t or "", add_special_tokens=False).ids) + 1

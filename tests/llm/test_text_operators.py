@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -10,7 +11,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -24,7 +27,6 @@ BPE = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -36,15 +38,30 @@ def library():
 def test_cached_encoding_is_the_library_s(library, text):
     coder = token_files.encoder(BPE)
     for _ in range(2):
-        assert np.frombuffer(coder.encode(text), coder.dtype).tolist() == library(text)
+        ids, sizes = coder.encode(pa.array([text.encode()], pa.binary()))
+        assert ids.tolist() == library(text) and sizes.tolist() == [len(ids)]
 
 
 def test_encoding_of_random_strings(library):
     draw, coder = random.Random(1), token_files.encoder(BPE)
-    alphabet = "ab  \n\t.,'é½ʼ²Ā9 ​🎉"
-    for _ in range(300):
-        text = "".join(draw.choices(alphabet, k=draw.randrange(30)))
-        assert np.frombuffer(coder.encode(text), coder.dtype).tolist() == library(text)
+    alphabet = [*"aZbÀ×ɏ  \n\t.,'9%-é½ʼ²Ā\u3000\u200b🎉\u00a0", "<|endoftext|>", " le", "日 本"]
+    for _ in range(200):
+        texts = ["".join(draw.choices(alphabet, k=draw.randrange(30)))
+                 for _ in range(draw.randrange(7))]
+        some = slice(len(texts) // 3, len(texts))
+        whole = pa.array([t.encode() for t in texts], pa.binary())
+        ids, sizes = coder.encode(whole[some.start:], end_id=2)
+        want = [[*library(t), 2] for t in texts[some]]
+        assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(x) for x in want]
+
+
+def test_encoding_with_a_full_cache(library, monkeypatch):
+    coder = token_files.Encoder(BPE)
+    monkeypatch.setattr(token_files, "CACHE_ENTRIES", 5)
+    text = "one two, three four. five six\nseven eight nine " * 3 + "x" * 100
+    for _ in range(2):
+        assert coder.encode(pa.array([text.encode()], pa.binary()))[0].tolist() == library(text)
+        assert len(coder.known) <= 15
 
 
 def test_token_files_round_trip(spark, corpus, library):
@@ -137,6 +154,52 @@ def test_language_learns_from_nobody(corpus, empty):
         corpus, model, "doc_id").collect()} == {("und", 0.0)}
 
 
+def test_language_scores_are_those_of_naive_bayes(corpus):
+    """The same model with dictionaries, document by document."""
+    rows = [r for r in corpus.select("doc_id", "text", "lang").collect()
+            if r.text is None or len(r.text) < 3000]
+    counts, docs = defaultdict(Counter), Counter()
+
+    def grams(text):
+        points = [ord(c) for c in text.lower()]
+        for n in language.SIZES:
+            for i in range(len(points) - n + 1):
+                value = 0
+                for p in points[i:i + n]:
+                    value = (value * 0x01000193 + p) % 2**32
+                yield ((value ^ n) * 0x9E3779B1 % 2**32 >> 17) % language.BUCKETS
+
+    for r in rows[:120]:
+        if r.text is not None and r.lang is not None:
+            counts[r.lang].update(grams(r.text))
+            docs[r.lang] += 1
+    frame = pd.DataFrame([(x, slot, n) for x, c in counts.items() for slot, n in c.items()]
+                         + [(x, -1, n) for x, n in docs.items()], columns=["lang", "slot", "n"])
+    model = language.Model(frame)
+    langs, scores = model.predict([r.text for r in rows])
+    for r, lang, score in zip(rows, langs, scores, strict=True):
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        logs = {}
+        for x, c in counts.items():
+            total = sum(c.values()) + 0.5 * language.BUCKETS
+            logs[x] = math.log(docs[x] / sum(docs.values())) + sum(
+                math.log((c[g] + 0.5) / total) for g in grams(r.text))
+        best = max(sorted(logs), key=logs.get)
+        assert lang == best
+        assert score == pytest.approx(
+            1 / sum(math.exp(v - logs[best]) for v in logs.values()), abs=1e-3)
+
+
+def test_language_keeps_ids_beside_null(spark, empty):
+    docs = spark.createDataFrame([(None, "a"), (2**53 + 1, "b"), (2**53, None)],
+                                 "doc_id long, text string")
+    model = language.fit(empty.select("text", "lang"))
+    assert {r.doc_id for r in language.predict(docs, model, "doc_id").collect()} == {
+        None, 2**53 + 1, 2**53}
+
+
 # --- secrets -------------------------------------------------------------------------------
 
 KEY = "Zq8Lk2Xv9TfW4mRp7Ys1HdCe6BnJ3uGa"
@@ -172,10 +235,88 @@ def test_random_strings_are_added_and_base_spans_stay(spark):
         assert set(filter(None, spans.split(","))) <= set(got[i].spans.split(","))
     at = len(BASE)
     assert got[at].spans == "random:4:36"
-    assert [got[i].spans for i in range(at + 1, at + 9)] == [""] * 8
+    assert [got[i].spans for i in range(at + 1, at + 9)] == [""] * 7 + ["hex:0:200000"]
     assert got[at + 9].spans == "assign:0:38" and got[at + 9].n_assign == 1
 
 
+def plain_spans(text: str) -> list[tuple[str, int, int]]:
+    """The three base kinds, character by character and without a regular expression."""
+    value = set(string.ascii_letters + string.digits + "+/_.=-")
+    found = []
+
+    def run(at: int, allowed) -> int:
+        while at < len(text) and text[at] in allowed:
+            at += 1
+        return at
+
+    at = 0
+    while at < len(text):
+        low, end = text[at:at + 8].lower() if text[at:at + 8].isascii() else "", None
+        if not low:
+            low = "".join(c.lower() if c.isascii() else "\0" for c in text[at:at + 8])
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if low.startswith(word):
+                i = at + len(word)
+                i += text[i:i + 1] in ('"', "'") and text[i:i + 1] != ""
+                i = run(i, " ")
+                if text[i:i + 1] in (":", "="):
+                    i = run(i + 1, " ")
+                    i += text[i:i + 1] in ('"', "'") and text[i:i + 1] != ""
+                    stop = run(i, value)
+                    if stop > i:
+                        end, size = stop, stop - i
+                break
+        if end is None:
+            at += 1
+            continue
+        if size >= 6:
+            found.append(("assign", at, end))
+        at = end
+    at = 0
+    while at < len(text):
+        if text.startswith("AKIA", at):
+            end = run(at + 4, set(string.ascii_uppercase + string.digits))
+            if end > at + 4:
+                if end - at >= 20:
+                    found.append(("access", at, end))
+                at = end
+                continue
+        at += 1
+    at = 0
+    while at < len(text):
+        end = run(at, set("0123456789abcdef"))
+        if end - at >= 24:
+            found.append(("hex", at, end))
+        at = max(end, at + 1)
+    return sorted(found, key=lambda s: (s[1], ("assign", "access", "hex").index(s[0])))
+
+
+def test_base_spans_by_hand(corpus):
+    draw = random.Random(9)
+    bits = ["password", "API_KEY", "apikey", "token", "Secret", "passwd", "=", ":", " ", '"', "'",
+            "AKIA", "ABCDEFGHIJ0123456789", "deadbeef" * 3, "abc123", "x" * 7, "/", "é", "K"]
+    texts = ["".join(draw.choices(bits, k=draw.randrange(1, 14))) for _ in range(3000)]
+    texts += [t for _, t in cases.pairs(corpus) if t and len(t) < 20_000]
+    assert sum(bool(plain_spans(t)) for t in texts) > 300
+    for text in texts:
+        assert secret_scan.base_spans(text) == plain_spans(text), text
+
+
+def test_spans_are_subtracted_in_one_sweep():
+    draw = random.Random(2)
+    for _ in range(300):
+        edges = sorted(draw.sample(range(60), 8))
+        runs = list(zip(edges[::2], edges[1::2]))
+        taken = sorted(((("k", a, a + draw.randrange(1, 15))) for a in draw.sample(range(60), 5)),
+                       key=lambda s: s[1])
+        covered = {i for _, a, b in taken for i in range(a, b)}
+        left = [i for a, b in runs for i in range(a, b) if i not in covered]
+        got = list(secret_scan.free(runs, taken))
+        assert [i for a, b in got for i in range(a, b)] == left
+        assert all(b < c or (b, c) in zip(edges[1::2], edges[2::2]) for (_, b), (c, _) in
+                   zip(got, got[1:]))
+
+
 @pytest.fixture(scope="module")
 def efficiency():
     return secret_scan.scanner(public_tokenizers.path("byte_bpe_50k.tiktoken"),
