@@ -70,7 +70,12 @@ def fact_portfolio_value_daily(
 
 
 def fact_pnl_daily(trade_days: DataFrame, closes: DataFrame) -> DataFrame:
-    """Realized PnL merged with the open positions of the day.
+    """Realized PnL merged with the open positions of the day."""
+    return pnl_of(positions(trade_days), closes)
+
+
+def pnl_of(positions_daily: DataFrame, closes: DataFrame) -> DataFrame:
+    """PnL of positions that still have the totals of their day beside them.
 
     Sales and open positions come from the same account-symbol-day rows, so their full
     outer join needs no join: a row is a sale, an open priced position, or both. The
@@ -79,7 +84,7 @@ def fact_pnl_daily(trade_days: DataFrame, closes: DataFrame) -> DataFrame:
     """
     priced = closes.select(
         "symbol", F.col("price_date").alias("position_date"), F.lit(True).alias("priced"))
-    joined = positions(trade_days).join(priced, on=["symbol", "position_date"], how="left")
+    joined = positions_daily.join(priced, on=["symbol", "position_date"], how="left")
     sold = F.col("sell_quantity") > 0
     held = (F.col("cumulative_position") != 0) & F.col("priced").isNotNull()
     apart = F.col("account_id").isNull() & sold & held

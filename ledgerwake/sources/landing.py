@@ -29,6 +29,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -62,7 +63,7 @@ class Manifest:
     base: str | None = None
     buckets: int = 1
     rows: int = 0
-    bad: tuple[str, ...] = ()
+    bad: Sequence[str] = ()
     # For each run the last batch that has been folded, and the messages it had by then.
     folded: dict[str, list[int]] = field(default_factory=dict)
 
@@ -107,11 +108,7 @@ def write_batch(batch: DataFrame, folder: str, number: int) -> None:
 
 def manifest(spark: SparkSession, path: str) -> Manifest:
     """The newest manifest; of a log that was never compacted, an empty one."""
-    found = files.matching(spark, f"{path}{LOG}/manifest/*.json")
-    if not found:
-        return Manifest()
-    read = json.loads(files.read_text(spark, found[-1]))
-    return Manifest(**{**read, "bad": tuple(read["bad"])})
+    return _manifests(spark, path)[0]
 
 
 def batches(spark: SparkSession, path: str) -> list[Batch]:
@@ -243,6 +240,46 @@ def tagged(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
     return tag_new(rows.limit(0), rows, table.key, ORDER)
 
 
+def mark(spark: SparkSession, path: str) -> dict[str, int]:
+    """The last complete batch of each run; whoever reads the log later has seen these."""
+    known = manifest(spark, path)
+    found = {run: last for run, (last, _) in known.folded.items()}
+    for b in batches(spark, path):
+        found[b.run] = max(found.get(b.run, -1), b.number)
+    return found
+
+
+def changed(spark: SparkSession, path: str, table: RawTable, since: dict[str, int]) -> DataFrame:
+    """All versions, old and new, of each key with an accepted row behind a mark.
+
+    They come from the newest base that holds nothing from behind the mark and all batches since.
+    Those are kept for one compaction after the mark; after two the log has to be read as a whole.
+    What batch writers inserted has no mark and is not seen here.
+    """
+    known = next((m for m in _manifests(spark, path) if all(
+        last <= since.get(run, -1) for run, (last, _) in m.folded.items())), None)
+    if known is None:
+        raise ValueError(f"{path}: rows behind the mark have been folded and deleted")
+    tail = _tail(spark, path, known)
+    fresh = _read(spark, [b for b in tail if b.number > since.get(b.run, -1)], OK, _placed(table))
+    if fresh is None:
+        return spark.createDataFrame([], table.schema)
+    keys = fresh.select(*table.key).distinct()
+    versions = _read(spark, tail, OK, _placed(table)).select(*table.columns)
+    base = base_table(spark, known, table)
+    if base is not None:
+        versions = versions.unionByName(base.select(*table.columns))
+    return versions.join(keys, list(table.key), "left_semi").select(*table.columns)
+
+
+def _manifests(spark: SparkSession, path: str) -> list[Manifest]:
+    """Manifests whose files are all there, newest first: the last two."""
+    found = files.matching(spark, f"{path}{LOG}/manifest/*.json")[::-1]
+    every = [Manifest(**json.loads(files.read_text(spark, name))) for name in found]
+    return every + ([Manifest()] if len(every) < 2 and (
+        not every or every[0].version == 1) else [])
+
+
 def quarantined(spark: SparkSession, path: str) -> DataFrame:
     """Refused messages with payload, position and the constraint they broke."""
     known = manifest(spark, path)
@@ -326,7 +363,7 @@ def _write_base(states: DataFrame, base: str, table: RawTable, buckets: int, eve
 
 
 def _fold_bad(spark: SparkSession, known: Manifest, tail: list[Batch],
-              folder: str) -> tuple[str, ...]:
+              folder: str) -> Sequence[str]:
     rows = _read(spark, tail, BAD, REFUSED)
     if rows is None:
         return known.bad
