@@ -19,8 +19,11 @@ hold the domains' shares of the labelled words.
 A rate says how often a document is to be seen: the integer part always, the rest by a hash of
 its id. NULL and empty texts hold no tokens; their rate is 1. Targets for domains nobody was
 labelled with cannot be met and stay as a residual; targets are normalised to sum to 1. Without
-labelled documents all rates are 1. Repeated rows get equal rates. Other columns are carried
-through by :func:`mixed_corpus`.
+labelled documents all rates are 1. Repeated rows get equal rates. Very long texts are read whole,
+and an empty table gives an empty one. Other columns are carried through by :func:`mixed_corpus`.
+
+Callers say what a domain is: the queries of this package take the language of a document that
+was labelled as good.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -130,9 +134,11 @@ def memberships(docs: DataFrame, domains: Domains,
     """``row, doc_id, n_tokens`` and expected ``tokens`` for each domain of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(domains)
 
-    @F.pandas_udf("array<double>")
-    def tokens(text: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.tokens(t, vocabulary) for t in text])
+    @F.arrow_udf("array<double>")
+    def tokens(text: pa.Array) -> pa.Array:
+        # One text at a time is a Python object: a batch may hold very long ones.
+        found = [shared.value.tokens(t.as_py(), vocabulary) for t in text]
+        return pa.array(found, pa.list_(pa.float64()))
 
     found = docs.select("row", "doc_id", tokens("text").alias("tokens"))
     return found.withColumn("n_tokens", F.aggregate("tokens", F.lit(0.0), lambda a, x: a + x))

@@ -27,7 +27,6 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
@@ -227,10 +226,11 @@ def id_counter(ranks_path: str, pattern: str,
 def n_ids(text: Column, ranks_path: str, pattern: str, special: tuple[str, ...] = ()) -> Column:
     """Number of ids :class:`Encoder` gives a text; only this number leaves the worker."""
 
-    @F.pandas_udf("bigint")
-    def count(text: pd.Series) -> pd.Series:
+    @F.arrow_udf("bigint")
+    def count(text: pa.Array) -> pa.Array:
+        # One text at a time is a Python object: a batch may hold very long ones.
         ids = id_counter(ranks_path, pattern, special)
-        return pd.Series([ids(t) for t in text], dtype="int64")
+        return pa.array([ids(t.as_py()) for t in text], pa.int64())
 
     return count(text)
 
