@@ -16,7 +16,8 @@ lengths, capacity and places is the word.
 
 NULL and empty texts hold the end mark alone, one token. A NULL source is a source like others;
 pass ``by_source=False`` to let sources meet. Repeated rows are packed one by one, and conflict
-as a cluster. Equal lengths are placed in the order of a hash of the row.
+as a cluster. Equal lengths are placed in the order of a hash of the row. A very long text fills as many
+bins as it needs, an empty table gives no bins, and other columns are ignored.
 """
 
 from __future__ import annotations

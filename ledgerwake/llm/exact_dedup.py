@@ -10,7 +10,8 @@ false positive of the filter nor a digest collision makes two texts equal.
 Texts are equal when identical after deleting white space (``[\\x20\\x09-\\x0D]``); NULL counts as
 empty. Of equal texts the row with the most code points stays, then the smallest ``doc_id``
 (NULL last), then the first in input order, so of rows repeated in full exactly one stays.
-Other columns are carried through untouched and may have any name but those added.
+Other columns are carried through untouched and may have any name but those added. Very long texts are
+compared whole; an empty batch gives an empty result, and an empty snapshot finds nothing.
 """
 
 from __future__ import annotations

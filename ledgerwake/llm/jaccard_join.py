@@ -15,12 +15,15 @@ joined in two ways:
   spanning forest leaves the task.
 
 The boundary between small and large minimises the estimated cost over the histogram of set
-sizes. All candidates are then verified on the texts themselves. Where an edge of a forest turns
+sizes. All candidates are then verified on their whole sets, which are made from the texts once
+more; a shingle is a 64-bit hash of its words, and equal sets are those of one digest over these
+hashes, so words are never compared themselves. Where an edge of a forest turns
 out to be no link, its list is scanned once more for all pairs between different components, so
 no link that matters to a component is lost. There is no cap anywhere.
 
 Documents link when ``100 * intersection >= percent * union``. A text with fewer words than
-``width`` is one shingle; NULL and blank texts have an empty set and link with nothing.
+``width`` is one shingle; NULL and blank texts have an empty set and link with nothing. Very
+long texts have all their shingles, and an empty table gives an empty one.
 Rows repeated in full, or with a repeated ``doc_id``, are rows of their own. A component is named
 by its smallest ``doc_id`` (NULL if it has none). Other columns are carried through by
 :func:`representatives`, which keeps the smallest ``doc_id`` (NULL last, then the first in input

@@ -12,7 +12,8 @@
 Documents scored under ``threshold`` are rejected. A document without words brings no evidence
 and gets the odds of its path. NULL hosts and paths form a site of their own. Without labels of
 both kinds there is no evidence at all: every score is 0.5 and nothing is rejected. Repeated
-labels of a document are averaged; repeated documents are scored alike. Columns of the input
+labels of a document are averaged; repeated documents are scored alike. Very long texts are
+measured whole, and an empty table gives an empty one. Columns of the input
 keep their names; ``host`` and ``path`` are given as expressions.
 """
 

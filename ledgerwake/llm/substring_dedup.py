@@ -19,7 +19,8 @@ the same smallest run form a segment, which holds exactly those windows.
 
 NULL and blank texts have no words. A text shorter than a window keeps everything. Windows are
 judged on the input, so two copies of a passage both lose it. Rows repeated in full are rows of
-their own and repeat each other. Other columns are ignored. Words are compared by 64-bit hashes
+their own and repeat each other. Very long texts are searched whole, and an empty table gives an
+empty one. Other columns are ignored. Words are compared by 64-bit hashes
 until step 2 and by 40 bits each within a shard, all words of a window at once; windows of a hot
 run by one 64-bit hash.
 """

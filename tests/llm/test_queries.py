@@ -60,3 +60,33 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     for r in after.collect():
         packed[r.doc_id] += r.n_tokens
     assert packed == wanted
+
+
+def test_pipeline_on_odd_rows_and_clashing_columns(spark, tmp_path):
+    """NULLs, blanks, long texts, ties, repeats and columns that clash with the operators' own."""
+    folder = str(tmp_path / "in")
+    cases.corpus(spark).write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet(f"{cases.SF_DIR}/labels.parquet").write.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, kept = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = set(cases.pairs(docs))
+        stage(spark, docs, folder).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.columns == columns
+        kept[name] = set(cases.pairs(docs))
+        assert kept[name] <= before
+    same = [{i for i, t in cases.pairs(cases.corpus(spark)) if not "".join(cases.words_of(t))}]
+    assert len({i for i, t in kept["exact_dedup"] if not cases.words_of(t)} & same[0]) == 1
+    assert len(kept["exact_dedup"] & {(10_010, t) for _, t in kept["quality"]}) <= 2
+    assert kept["mix"] == kept["near_dedup"]
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+    assert {r.doc_id for r in packed} == {i for i, _ in kept["mix"]}
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    cases.none(spark).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(
+        f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
