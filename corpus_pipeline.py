@@ -4,6 +4,12 @@ Quality classifier, exact dedup, near-duplicate join, mixing to target weights,
 stage takes all its predecessor kept, as a written table, and returns the columns of ``documents``; the last one
 returns the bins. Mixing never discards: a rate is at least 1, and what a domain lacks is made up
 by repeating its documents, whose copies packing then keeps out of each other's bins.
+
+NULLs may stand in any column. A NULL or blank text is scored by its site alone, is the same text
+as every other blank one, links with nothing, has rate 1 and packs as one end mark. Very long texts
+go through whole. Rows repeated in full are copies of one text, of which one stays. Columns that
+``documents`` has beside its own are carried up to packing, whatever their names, and an empty
+table gives no bins.
 """
 
 from __future__ import annotations
