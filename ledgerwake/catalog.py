@@ -505,6 +505,17 @@ def trade_calendar(spark, sf_dir):
     return days.join(traded, "date_day", "left").na.fill(0, ["n_trades"])
 
 
+@query()
+def default_calendar(spark, sf_dir):
+    """The date dimension as it is without an end: up to a year from today. Trades are counted on
+    its days, moved to fall into it."""
+    days = dimensions.dim_date(spark, PARAMS)
+    moved = F.add_months(F.col("trade_date"), 12 * 28)
+    traded = _trades(spark, sf_dir).groupBy(moved.alias("date_day")).agg(
+        F.count(F.lit(1)).alias("n_trades"))
+    return days.join(traded, "date_day", "left").na.fill(0, ["n_trades"])
+
+
 @query()
 def qc_summary_planted(spark, sf_dir):
     """The checks of the trade view on rows with errors of all four kinds."""

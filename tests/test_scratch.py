@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from ledgerwake.sources import scratch
@@ -30,3 +34,30 @@ def test_a_cluster_without_the_folder_is_refused():
 def test_local_mode_makes_its_own_folder_once():
     session = Session(spark__master="local[2]")
     assert scratch.scratch_root(session) == scratch.scratch_root(session)
+
+
+def test_what_was_given_is_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "_given", {})
+    monkeypatch.setattr(scratch, "scratch_root", lambda session: str(tmp_path))
+    (tmp_path / "mine").mkdir()
+    frame = scratch.staged(spark.range(3), "x")
+    assert frame.count() == 3 and len(list(tmp_path.iterdir())) == 2
+    scratch.clear(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["mine"]
+    scratch.clear(spark)
+
+
+def test_nothing_is_left_when_a_process_ends(tmp_path):
+    script = """
+from pyspark.sql import SparkSession
+from ledgerwake.sources import scratch
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config(
+    "spark.checkpoint.dir", FOLDER).getOrCreate()
+assert scratch.staged(spark.range(3), "x").count() == 3
+import os
+assert os.listdir(FOLDER)
+"""
+    script = script.replace("FOLDER", repr(str(tmp_path)))
+    subprocess.run([sys.executable, "-c", script], check=True, capture_output=True,
+                   cwd=Path(__file__).parent.parent, timeout=120)
+    assert list(tmp_path.iterdir()) == []
