@@ -285,6 +285,7 @@ def check_whitening(got, rows, tolerance=1e-9) -> None:
     want = defaultdict(list)
     for i, x in grid:
         exact = sum((n * a - s) ** 2 for a, s in zip(x, sums))
+        exact = exact if exact < 1 << 63 else None
         y = np.array([float(Fraction(n * a - s, n)) for a, s in zip(x, sums)])
         for c in range(k):
             want[i, c + 1].append((exact, float(y @ u[:, c] / math.sqrt(e[c]))))
