@@ -153,6 +153,107 @@ def op12_url_filter(spark, sf_dir):
     return url_filter.table(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def _rule_sql(value: str) -> str:
+    """The rule that decides, longest first, as a CASE over ``host`` and ``path``."""
+    ranked = sorted(URL_RULES, key=lambda r: (-len(str(r)), str(r)))
+    return "CASE " + " ".join(
+        f"WHEN starts_with(path, '{r.path}') AND (host = '{r.host}' "
+        f"OR ends_with(host, '.{r.host}')) THEN '{str(r) if value == 'rule' else r.verdict}'"
+        for r in ranked) + " END"
+
+
+def _level_sql(k: int) -> str:
+    """Probabilities of a gram's last character after its ``k`` last characters before that."""
+    kinds = {c: (f"(known.{c} + known.{c}_d * below.{c})", f"(known.{c}_n + known.{c}_d)")
+             for c in ("accepted", "rejected")}
+    values = ", ".join(f"CASE WHEN {n} > 0 THEN {x} / {n} ELSE below.{c} END AS {c}"
+                       for c, (x, n) in kinds.items())
+    return f"""level{k} AS (
+        SELECT below.gram, {values} FROM level{k - 1} AS below
+        JOIN known ON known.suffix = substr(below.gram, {url_filter.ORDER + 1 - k}))"""
+
+
+# The checksum is the common one: 256 table entries, one for each byte, and a step for each byte
+# of the host. Grams, smoothing and calibration are those of the operator.
+ORACLE_SQL["op12_url_filter"] = rf"""
+    WITH RECURSIVE entries(n, c, round) AS (
+        SELECT n, n, 0 FROM range(256) AS t(n)
+        UNION ALL
+        SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, round + 1
+        FROM entries WHERE round < 8
+    ), urls AS (
+        SELECT row_number() OVER () AS rid, page_id,
+               translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+        FROM pages
+    ), hosts AS (SELECT DISTINCT host, hex(encode(host)) AS code FROM urls),
+    sums(host, code, c, place) AS (
+        SELECT host, code, 4294967295::BIGINT, 0 FROM hosts
+        UNION ALL
+        SELECT host, code, xor(e.c, s.c // 256), place + 1
+        FROM sums AS s JOIN entries AS e
+          ON e.round = 8
+         AND e.n = xor(s.c, ('0x' || substr(code, 2 * place + 1, 2))::BIGINT) % 256
+        WHERE place < length(code) // 2
+    ), unseen AS (
+        SELECT host, xor(c, 4294967295) % 4 = 2 AS held FROM sums WHERE place = length(code) // 2
+    ), rows AS (
+        SELECT urls.*, held, {_rule_sql('rule')} AS rule, {_rule_sql('verdict')} AS decided,
+               repeat(chr(1), {url_filter.ORDER}) || host || path || chr(2) AS padded
+        FROM urls JOIN unseen USING (host)
+    ), pieces AS (
+        SELECT rid, length(padded) - {url_filter.ORDER} AS size,
+               (decided IS NOT DISTINCT FROM 'allow' AND NOT held)::INT AS accepted,
+               (decided IS NOT DISTINCT FROM 'block' AND NOT held)::INT AS rejected,
+               unnest([substr(padded, i, {url_filter.ORDER + 1})
+                       FOR i IN range(1, length(padded) - {url_filter.ORDER - 1})]) AS gram
+        FROM rows
+    ), seen AS (
+        SELECT gram, sum(accepted) AS accepted, sum(rejected) AS rejected FROM pieces GROUP BY gram
+    ), counts AS (
+        SELECT substr(gram, {url_filter.ORDER + 1} - k) AS suffix, sum(accepted) AS accepted,
+               sum(rejected) AS rejected
+        FROM seen, range({url_filter.ORDER + 1}) AS t(k) GROUP BY suffix
+    ), contexts AS (
+        SELECT left(suffix, length(suffix) - 1) AS context, count(*) AS symbols,
+               sum(accepted) AS accepted_n, count(*) FILTER (accepted > 0) AS accepted_d,
+               sum(rejected) AS rejected_n, count(*) FILTER (rejected > 0) AS rejected_d
+        FROM counts GROUP BY context
+    ), known AS (
+        SELECT * FROM counts JOIN contexts ON context = left(suffix, length(suffix) - 1)
+    ), below0 AS (
+        SELECT gram, 1 / symbols AS accepted, 1 / symbols AS rejected
+        FROM seen JOIN contexts ON context = ''
+    ), {_level_sql(0).replace("level-1", "below0")},
+    {", ".join(_level_sql(k) for k in range(1, url_filter.ORDER + 1))},
+    scores AS (
+        SELECT rid, sum(ln(p.accepted) - ln(p.rejected)) / any_value(size) AS score
+        FROM pieces JOIN level{url_filter.ORDER} AS p USING (gram) GROUP BY rid
+    ), judged AS (
+        SELECT *, floor(score * {url_filter.STEPS}) AS step FROM rows JOIN scores USING (rid)
+    ), labelled AS (
+        SELECT step, decided = 'allow' AS good FROM judged WHERE held AND decided IS NOT NULL
+    ), rated AS (
+        SELECT step,
+               (SELECT count(*) FROM labelled AS l WHERE good AND l.step >= s.step)
+                   / (SELECT nullif(count(*), 0) FROM labelled WHERE good)
+             + (SELECT count(*) FROM labelled AS l WHERE NOT good AND l.step < s.step)
+                   / (SELECT nullif(count(*), 0) FROM labelled WHERE NOT good) AS rate
+        FROM (SELECT DISTINCT step FROM labelled) AS s
+    ), least AS (
+        SELECT coalesce((SELECT step FROM rated WHERE rate IS NOT NULL
+                         ORDER BY rate DESC, abs(step), step LIMIT 1), 0) AS step,
+               (SELECT count(DISTINCT decided) FROM rows WHERE NOT held) = 2 AS learned
+    )
+    SELECT page_id, host, path, rule,
+           coalesce(decided, CASE WHEN host || path <> '' AND (NOT learned OR j.step >= least.step)
+                                  THEN 'allow' ELSE 'block' END) AS verdict,
+           round(score, 6) AS score
+    FROM judged AS j, least
+"""
+
+
 @query
 def op13_whitening(spark, sf_dir):
     return whitening.table(read_table(spark, sf_dir, "embeddings"))

@@ -188,4 +188,5 @@ def table(pages: DataFrame, rules: Sequence[Rule], order: int = ORDER) -> DataFr
     blank = (F.col("host") == "") & (F.col("path") == "")
     guess = F.when(allowed & ~blank, F.lit(ALLOW)).otherwise(F.lit(BLOCK))
     return judged.select("page_id", "host", "path", "rule",
-                         F.coalesce("decided", guess).alias("verdict"), "score")
+                         F.coalesce("decided", guess).alias("verdict"),
+                         F.round("score", 6).alias("score"))
