@@ -2,8 +2,8 @@
 
 Two kinds of timings, in seconds, each with a cold run and the median of warm runs:
 
-* jobs on landed tables: full model build, risk summary, quality suite, stream replay
-  (``$BENCH_RUNS`` warm runs, default 5);
+* jobs on landed tables: full model build, risk summary, what is left of the quality suite after a
+  build, stream replay, a log read as it came and folded (``$BENCH_RUNS`` warm runs, default 5);
 * catalog queries straight from the input tables (2 warm runs).
 
 Query results go to the noop sink, so every row and column is computed.
@@ -20,10 +20,12 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from ledgerwake import Params, catalog  # noqa: E402
 from ledgerwake.plans import pipeline, reports  # noqa: E402
 from ledgerwake.session import build_session  # noqa: E402
-from ledgerwake.sources import market  # noqa: E402
+from ledgerwake.sources import landing, market  # noqa: E402
 from ledgerwake.sources.scratch import scratch_dir, staged  # noqa: E402
 from ledgerwake.streaming import feeds, sinks  # noqa: E402
 
@@ -54,7 +56,22 @@ def jobs(spark, sf_dir: str) -> dict[str, Callable[[], None]]:
             spark, feed, {"fmt": "parquet", "path": recorded}, scratch_dir(spark, "landed"),
             scratch_dir(spark, "checkpoint"), sinks.ONCE).awaitTermination()
 
+    # Two logs of the same messages, each delivered twice: as it came, and folded but for the rest.
+    logs = {name: f"{scratch_dir(spark, name)}/{feed.table.name}" for name in ("log", "folded")}
+    messages = spark.read.parquet(recorded)
+    last = F.pmod(F.xxhash64("offset"), F.lit(10)) == 0
+    for name, out in logs.items():
+        for part in (messages.unionByName(messages).filter(~last), messages.filter(last)):
+            path = scratch_dir(spark, "messages")
+            part.write.parquet(path)
+            sinks.start_feed(spark, feed, {"fmt": "parquet", "path": path}, out,
+                             scratch_dir(spark, "checkpoint"), sinks.ONCE).awaitTermination()
+            if name == "folded" and not landing.manifest(spark, out).version:
+                landing.compact(spark, out, feed.table)
+
     return {
+        "read_log": lambda: consume(landing.resolved(spark, logs["log"], feed.table)),
+        "read_folded_log": lambda: consume(landing.resolved(spark, logs["folded"], feed.table)),
         "model_build": lambda: pipeline.run(spark, raw, scratch_dir(spark, "models")),
         "risk_report": lambda: consume(reports.risk_summary_from_values(
             models["fact_portfolio_value_daily"], Params())),
