@@ -708,7 +708,10 @@ def _updated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """
     root = scratch_dir(spark, "late")
     late = F.pmod("offset", F.lit(5)) == 0
-    trades = _spread(market.trade_feed(spark, sf_dir)).withColumn("side", F.upper("side"))
+    # Keys of their own for the rare line items that share all that makes up a trade's key.
+    trades = _spread(market.trade_feed(spark, sf_dir)).withColumns({
+        "side": F.upper("side"),
+        "trade_id": F.concat_ws("_", "trade_id", F.col("timestamp").cast("string"))})
     wrong = trades.filter(late & (F.col("partition") == 3)).withColumns({
         "quantity": F.col("quantity") * 2, "timestamp": F.expr("timestamp + INTERVAL '3' DAY"),
         "arrived_at": F.expr("arrived_at + INTERVAL '1' SECOND")})

@@ -309,8 +309,8 @@ def _counts(spark: SparkSession, path: str, tail: list[Batch]) -> dict[str, int]
         return {}
     rows = spark.read.option("basePath", f"{path}{LOG}").schema(
         record(run=STRING, verdict=STRING)).parquet(*paths)
-    # A row for each run.
-    return {r.run: r.n for r in rows.groupBy("run").agg(F.count(F.lit(1)).alias("n")).collect()}
+    each = rows.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    return each.agg(F.map_from_entries(F.collect_list(F.struct("run", "n")))).first()[0]
 
 
 def compact(spark: SparkSession, path: str, table: RawTable,
