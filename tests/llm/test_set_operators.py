@@ -341,9 +341,8 @@ def test_caps_are_told(spark, monkeypatch):
         components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long"))
     monkeypatch.setattr(domain_mix, "STEPS", 1)
     members = spark.createDataFrame([([9.0, 1.0],), ([2.0, 8.0],)], "tokens array<double>")
-    with pytest.warns(UserWarning, match="off its target"):
-        plan = domain_mix.solve(members, np.array([0.1, 0.9]))
-    assert plan.residual > 0 and len(plan.steps) == 1
+    with pytest.raises(RuntimeError, match="off its target by"):
+        domain_mix.solve(members, np.array([0.1, 0.9]))
 
 
 # --- packing -------------------------------------------------------------------------------
