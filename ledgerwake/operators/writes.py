@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwake.schemas import RawTable
@@ -102,18 +102,21 @@ def tag_new(
     """Mark each batch row that an insert with a primary key would let in.
 
     ``is_new`` is true for the first row (by ``order``) of a key that ``existing`` does not
-    hold. ``order`` has to be unique within a key, as a source position is. The join back
-    is on key *and* order, so the copies of one key spread over all partitions.
+    hold. ``order`` has to be unique within a key, as a source position is; a row without a key
+    or position is not let in. Stored keys stand before the batch in one line for each key, so
+    the batch is dealt out once. The line of a key is sorted and ranked as it passes; it spills
+    to disk if it is long. Rows without a key are dealt out by their position.
     """
-    position = [*key, *order]
-    firsts = batch.groupBy(*key).agg(F.min(F.struct(*order)).alias("_first"))
-    winners = firsts.join(existing.select(*key), on=list(key), how="left_anti").select(
-        *key, *[F.col(f"_first.{c}").alias(c) for c in order], F.lit(True).alias("_won"))
-    return (
-        batch.join(winners, on=position, how="left")
-        .withColumn("is_new", F.col("_won").isNotNull())
-        .select(*batch.columns, "is_new")
-    )
+    known = existing.select(*key).withColumn("_arrival", F.lit(0))
+    log = batch.withColumn("_arrival", F.lit(1)).unionByName(known, allowMissingColumns=True)
+    whole = F.lit(True)
+    for column in (*key, *order):
+        whole = whole & F.col(column).isNotNull()
+    unkeyed = F.when(F.concat(*[F.col(c).isNull().cast("string") for c in key]).contains("true"),
+                     F.xxhash64(*order))
+    line = Window.partitionBy(*key, unkeyed).orderBy("_arrival", *order)
+    ranked = log.withColumn("is_new", (F.rank().over(line) == 1) & whole)
+    return ranked.filter("_arrival = 1").select(*batch.columns, "is_new")
 
 
 def insert_new(
