@@ -79,10 +79,14 @@ def _unit_price() -> Column:
 
 
 def trade_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trades as they arrive: raw columns plus the ``seq`` that orders arrival."""
+    """Trades as they arrive: raw columns plus the ``seq`` that orders arrival.
+
+    Both joins look up by a key of the smaller table. They are hashed, so that line items, the
+    widest and longest input, are dealt out but never sorted.
+    """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    parts = table(spark, sf_dir, "part")
+    orders = table(spark, sf_dir, "orders").hint("shuffle_hash")
+    parts = table(spark, sf_dir, "part").hint("shuffle_hash")
     side = F.when(F.col("l_returnflag") == "R", "sell").otherwise("buy")
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -106,7 +110,7 @@ def trade_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks before the upsert, with ``seq`` as their arrival order."""
     lines = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part")
+    parts = table(spark, sf_dir, "part").hint("shuffle_hash")
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("p_type").alias("symbol"),
         _unit_price().alias("price"),
@@ -160,8 +164,8 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.select(*RAW_PRICES.columns)
 
 
-def messages(feed: DataFrame, message: T.StructType, key: str) -> DataFrame:
-    """A feed as the broker envelopes its producer would have sent."""
+def messages(feed: DataFrame, message: T.StructType, key: str, *carried: str) -> DataFrame:
+    """A feed as the broker envelopes its producer would have sent, and ``carried`` columns."""
     body = F.struct(*[
         F.col(field.name) if field.name != "timestamp"
         else to_millis(F.col("timestamp")).alias("timestamp") for field in message])
@@ -171,4 +175,5 @@ def messages(feed: DataFrame, message: T.StructType, key: str) -> DataFrame:
         F.lit(None).cast("string").alias("topic"),
         "partition", "offset",
         F.col("arrived_at").alias("timestamp"),
+        *carried,
     )
