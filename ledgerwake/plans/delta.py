@@ -201,7 +201,13 @@ def update(
 def rebuild(spark: SparkSession, root: str, before: Mapping[str, DataFrame],
             since: Marks) -> dict[str, DataFrame]:
     """Update a build of the landing tables under ``root`` to what they hold now."""
-    return update(before, load_raw(spark, root), changes(spark, root, since))
+    return update(before, loaded(spark, root), changes(spark, root, since))
+
+
+def loaded(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The landing tables under ``root``; trades, which several models read, resolved once."""
+    raw = load_raw(spark, root)
+    return raw | {"raw_trades": staged(raw["raw_trades"], "raw-trades")}
 
 
 def tables(models: pipeline.Models) -> dict[str, DataFrame]:
