@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerwake.functions.scalar import from_millis, to_millis
@@ -31,8 +31,8 @@ from ledgerwake.plans import (
 )
 from ledgerwake.plans.checks import CHECKS
 from ledgerwake.schemas import LONG, RAW_PRICES, RAW_TRADES, SIDES, record
-from ledgerwake.sources import landing, market
-from ledgerwake.sources.raw import create_raw_tables, load_raw
+from ledgerwake.sources import files, landing, market
+from ledgerwake.sources.raw import as_raw, create_raw_tables, load_raw
 from ledgerwake.sources.scratch import scratch_dir, staged
 from ledgerwake.streaming import feeds, sinks
 
@@ -435,16 +435,16 @@ def price_upsert(spark, sf_dir):
         RAW_PRICES.key, ["seq"], ["price"])
 
 
-def _delivered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market.trade_feed(spark, sf_dir).withColumn(
-        "delivery", F.explode(F.array(F.lit(1), F.lit(2))))
+def _delivered_twice(feed: DataFrame) -> DataFrame:
+    return feed.withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2))))
 
 
 def _keyed_insert(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All trades, delivered twice, into a table that holds the upper-case ones."""
-    stored = quality.holds(market.raw_trades(spark, sf_dir), "side <> upper(side)")
+    feed = staged(market.trade_feed(spark, sf_dir).drop("seq", "l_tax"), "trade-feed")
+    stored = quality.holds(as_raw(feed, RAW_TRADES), "side <> upper(side)")
     return writes.insert_new(
-        stored, _delivered_twice(spark, sf_dir), RAW_TRADES.key,
+        stored, _delivered_twice(feed), RAW_TRADES.key,
         ["delivery", "arrived_at", *feeds.POSITION])
 
 
@@ -551,17 +551,27 @@ def millis_to_timestamp(spark, sf_dir):
         "event_id", millis.alias("millis"), from_millis(millis).alias("ts_millis"))
 
 
-def _recorded(messages: DataFrame, name: str, files: int | None = None) -> dict:
-    """Write envelopes down and return the source options that replay them.
+def _recorded(messages: DataFrame, name: str, by: str | None = None) -> str:
+    """Write envelopes down for replay, in a folder of its own for each value of ``by``.
 
-    With ``files`` they are spread over so many and replayed one file a batch.
+    The tasks that make the messages write them, into as many files as there are tasks: nothing
+    is dealt out anew, and no task takes in more than its share of the feed.
     """
-    path = scratch_dir(messages.sparkSession, f"messages-{name}")
-    if files is None:
-        messages.write.parquet(path)
-        return {"fmt": "parquet", "path": path}
-    messages.repartition(files, "key", "offset").write.parquet(path)
-    return {"fmt": "parquet", "path": path, "maxFilesPerTrigger": "1"}
+    spark = messages.sparkSession
+    path = scratch_dir(spark, f"messages-{name}")
+    writer = messages.write.option("compression", "zstd")
+    if by is None:
+        writer.parquet(path)
+        return path
+    # One open file for each value instead of a sort of whole messages by it.
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "16")
+    try:
+        writer.partitionBy(by).parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return path
 
 
 def _spread(feed: DataFrame) -> DataFrame:
@@ -570,43 +580,90 @@ def _spread(feed: DataFrame) -> DataFrame:
 
 
 def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spelled = _spread(market.trade_feed(spark, sf_dir)).withColumn("side", F.upper("side"))
+    """Trades as sent; the joins of their feed deal them out to the producers."""
+    return _sent_trades(market.trade_feed(spark, sf_dir))
+
+
+def _sent_trades(feed: DataFrame) -> DataFrame:
+    spelled = feed.withColumn("side", F.upper("side"))
     return market.messages(spelled, feeds.FEEDS["trades"].message, "account_id")
 
 
+def _replay(spark: SparkSession, name: str, source: dict, out: str) -> None:
+    """Run a feed over recorded messages until they are used up, under a new checkpoint."""
+    sinks.start_feed(
+        spark, feeds.FEEDS[name], {"fmt": "parquet", **source}, out,
+        scratch_dir(spark, f"checkpoint-{name}"), sinks.ONCE).awaitTermination()
+
+
+def _landed(spark: SparkSession, name: str, root: str | None = None) -> str:
+    return f"{root or scratch_dir(spark, f'landed-{name}')}/{feeds.FEEDS[name].table.name}"
+
+
 def _replayed(
-    spark: SparkSession, name: str, *loads: DataFrame, files: int | None = None,
-    root: str | None = None, compacted: int = 0,
+    spark: SparkSession, name: str, messages: DataFrame, batches: int | None = None,
+    root: str | None = None,
 ) -> str:
     """Run a feed over recorded messages until they are used up; return its folder.
 
+    With ``batches`` a message and its copies go to one of so many groups of files, as their key
+    and offset have it, and as many files are replayed at a time as there are to each group.
+    """
+    out = _landed(spark, name, root)
+    if batches is None:
+        _replay(spark, name, {"path": _recorded(messages, name)}, out)
+        return out
+    batch = F.pmod(F.hash("key", "offset"), F.lit(batches))
+    path = _recorded(messages.withColumn("batch", batch), name, "batch")
+    found = len(files.matching(spark, f"{path}/batch=*/*.parquet"))
+    _replay(spark, name, {"path": f"{path}/batch=*",
+                          "maxFilesPerTrigger": str(max(1, -(-found // batches)))}, out)
+    return out
+
+
+def _loads(messages: DataFrame, name: str, n: int) -> list[dict]:
+    """Record messages of ``n`` loads in one pass, by their column ``load``; the sources of each.
+
+    A message without a load is in none. A pattern, as a load may have no messages.
+    """
+    path = _recorded(messages, name, "load")
+    return [{"path": f"{path}/load=[{load}]"} for load in range(n)]
+
+
+def _replayed_loads(
+    spark: SparkSession, name: str, messages: DataFrame, n: int, root: str | None = None,
+    compacted: int = 0,
+) -> str:
+    """Replay ``n`` loads one after the other, see :func:`_loads`.
+
     Each load has a checkpoint of its own and lands in the same place. After the first
     ``compacted`` loads the log is compacted.
     """
-    table = feeds.FEEDS[name].table
-    out = f"{root or scratch_dir(spark, f'landed-{name}')}/{table.name}"
-    for position, load in enumerate(loads):
-        sinks.start_feed(
-            spark, feeds.FEEDS[name], _recorded(load, name, files), out,
-            scratch_dir(spark, f"checkpoint-{name}"), sinks.ONCE).awaitTermination()
+    out = _landed(spark, name, root)
+    for position, source in enumerate(_loads(messages, name, n)):
+        _replay(spark, name, source, out)
         if position < compacted:
-            landing.compact(spark, out, table)
+            landing.compact(spark, out, feeds.FEEDS[name].table)
     return out
 
 
 def _price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return market.messages(
-        _spread(market.price_feed(spark, sf_dir)), feeds.FEEDS["prices"].message, "symbol")
+        market.price_feed(spark, sf_dir), feeds.FEEDS["prices"].message, "symbol")
+
+
+def _later(seconds: int) -> Column:
+    return F.col("timestamp") + F.expr(f"INTERVAL {seconds} SECOND")
 
 
 def _twice(messages: DataFrame) -> DataFrame:
-    again = messages.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
-    return messages.unionByName(again)
+    return messages.withColumn("timestamp", F.explode(F.array("timestamp", _later(1))))
 
 
-def _halves(messages: DataFrame) -> list[DataFrame]:
+def _halves(messages: DataFrame) -> DataFrame:
     """Two backfills: odd and even source offsets."""
-    return [messages.filter(F.col("offset") % 2 == rest) for rest in (1, 0)]
+    rest = F.col("offset") % 2
+    return messages.withColumn("load", F.when(rest == 1, 0).when(rest == 0, 1))
 
 
 @query()
@@ -625,14 +682,14 @@ def stream_replay_prices(spark, sf_dir):
 @query()
 def stream_replay_prices_batches(spark, sf_dir):
     """The same in five batches, cut across the order of the broker times."""
-    out = _replayed(spark, "prices", _price_messages(spark, sf_dir), files=5)
+    out = _replayed(spark, "prices", _price_messages(spark, sf_dir), batches=5)
     return landing.resolved(spark, out, feeds.FEEDS["prices"].table)
 
 
 @query()
 def stream_two_backfills_prices(spark, sf_dir):
     """Two checkpoints, one table."""
-    out = _replayed(spark, "prices", *_halves(_price_messages(spark, sf_dir)))
+    out = _replayed_loads(spark, "prices", _halves(_price_messages(spark, sf_dir)), 2)
     return landing.resolved(spark, out, feeds.FEEDS["prices"].table)
 
 
@@ -645,19 +702,19 @@ def stream_replay_cash(spark, sf_dir):
 
 @query()
 def stream_two_backfills_trades(spark, sf_dir):
-    out = _replayed(spark, "trades", *_halves(trade_messages(spark, sf_dir)))
+    out = _replayed_loads(spark, "trades", _halves(trade_messages(spark, sf_dir)), 2)
     return landing.landed(spark, out, feeds.FEEDS["trades"].table)
 
 
 @query()
 def stream_dedup(spark, sf_dir):
     """Every trade message delivered twice, in several batches, read once."""
-    out = _replayed(spark, "trades", _twice(trade_messages(spark, sf_dir)), files=3)
+    out = _replayed(spark, "trades", _twice(trade_messages(spark, sf_dir)), batches=3)
     return landing.resolved(spark, out, feeds.FEEDS["trades"].table)
 
 
-def _thirds(messages: DataFrame) -> list[DataFrame]:
-    return [messages.filter(F.pmod("offset", F.lit(3)) == rest) for rest in range(3)]
+def _thirds(messages: DataFrame) -> DataFrame:
+    return messages.withColumn("load", F.pmod("offset", F.lit(3)))
 
 
 @query()
@@ -666,18 +723,24 @@ def stream_compacted_trades(spark, sf_dir):
 
     The last load repeats keys of the base with earlier broker times, too.
     """
-    once = trade_messages(spark, sf_dir)
-    first, second, third = _thirds(_twice(once))
-    early = once.withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 1 SECOND"))
-    third = third.unionByName(early.filter("partition % 2 = 0"))
-    out = _replayed(spark, "trades", first, second, third, compacted=2)
+    def sent(load: Column, seconds: int) -> Column:
+        return F.struct(_later(seconds).alias("timestamp"), load.cast("int").alias("load"))
+
+    once = _thirds(trade_messages(spark, sf_dir))
+    early = F.when(F.col("partition") % 2 == 0, F.lit(2))
+    copies = F.array(sent(F.col("load"), 0), sent(F.col("load"), 1), sent(early, -1))
+    messages = once.withColumn("copy", F.explode(copies)).withColumns(
+        {"timestamp": F.col("copy.timestamp"), "load": F.col("copy.load")})
+    out = _replayed_loads(
+        spark, "trades", messages.drop("copy").filter("load IS NOT NULL"), 3, compacted=2)
     return landing.resolved(spark, out, feeds.FEEDS["trades"].table)
 
 
 @query()
 def stream_compacted_prices(spark, sf_dir):
     """Ticks upserted over two bases."""
-    out = _replayed(spark, "prices", *_thirds(_price_messages(spark, sf_dir)), compacted=2)
+    out = _replayed_loads(
+        spark, "prices", _thirds(_price_messages(spark, sf_dir)), 3, compacted=2)
     return landing.resolved(spark, out, feeds.FEEDS["prices"].table)
 
 
@@ -688,9 +751,10 @@ def raw_landing_mixed(spark, sf_dir):
     Rows of the batch count as older: they have the version that the streams do not set.
     """
     root = scratch_dir(spark, "mixed")
-    messages = trade_messages(spark, sf_dir)
-    _replayed(spark, "trades", *_halves(messages), root=root, compacted=1)
-    trades = market.raw_trades(spark, sf_dir)
+    feed = staged(market.trade_feed(spark, sf_dir).drop("seq", "l_tax"), "trade-feed")
+    messages = _sent_trades(feed)
+    _replayed_loads(spark, "trades", _halves(messages), 2, root=root, compacted=1)
+    trades = as_raw(feed, RAW_TRADES)
     early = trades.filter("quantity < 20").withColumns(
         {"side": F.upper("side"), "event_version": F.lit("batch")})
     _insert_trades(spark, root, early.filter("quantity < 10"))
@@ -709,33 +773,46 @@ def _updated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     root = scratch_dir(spark, "late")
     late = F.pmod("offset", F.lit(5)) == 0
     # Keys of their own for the rare line items that share all that makes up a trade's key.
-    trades = _spread(market.trade_feed(spark, sf_dir)).withColumns({
+    trades = market.trade_feed(spark, sf_dir).withColumns({
         "side": F.upper("side"),
         "trade_id": F.concat_ws("_", "trade_id", F.col("timestamp").cast("string"))})
-    wrong = trades.filter(late & (F.col("partition") == 3)).withColumns({
-        "quantity": F.col("quantity") * 2, "timestamp": F.expr("timestamp + INTERVAL '3' DAY"),
-        "arrived_at": F.expr("arrived_at + INTERVAL '1' SECOND")})
+    # 0 comes first, 1 comes late, 2 is the wrong version that comes first of a late one.
+    coming = F.when(~late, F.array(F.lit(0))).when(
+        F.col("partition") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    trades = trades.withColumn("turn", F.explode(F.when(late.isNotNull(), coming)))
+    wrong = F.col("turn") == 2
+    trades = trades.withColumns({
+        "quantity": F.when(wrong, F.col("quantity") * 2).otherwise(F.col("quantity")),
+        "timestamp": F.when(wrong, F.expr("timestamp + INTERVAL '3' DAY")).otherwise(
+            F.col("timestamp")),
+        "arrived_at": F.when(wrong, F.expr("arrived_at + INTERVAL '1' SECOND")).otherwise(
+            F.col("arrived_at")),
+        "load": F.col("turn") % 2})
     newest = Window.partitionBy(*RAW_PRICES.key).orderBy(F.desc("seq"))
-    ticks = _spread(market.price_feed(spark, sf_dir).withColumn(
-        "nth", F.row_number().over(newest)).filter("nth = 1"))
+    ticks = market.price_feed(spark, sf_dir).withColumn(
+        "nth", F.row_number().over(newest)).filter("nth = 1")
     again = F.col("partition") == 2
-    first = ticks.withColumns({
-        "price": F.when(again, F.col("price") * 2).otherwise(F.col("price")),
-        "offset": F.when(again, F.col("offset") - 1).otherwise(F.col("offset"))})
-    cash = _spread(market.cash_feed(spark, sf_dir)).withColumn("type", F.upper("type"))
+    twice = F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    ticks = ticks.withColumn("load", F.explode(twice))
+    wrong = again & (F.col("load") == 0)
+    ticks = ticks.withColumns({
+        "price": F.when(wrong, F.col("price") * 2).otherwise(F.col("price")),
+        "offset": F.when(wrong, F.col("offset") - 1).otherwise(F.col("offset"))})
+    cash = _spread(market.cash_feed(spark, sf_dir)).withColumns(
+        {"type": F.upper("type"), "load": late.cast("int")})
     loads = {
-        "trades": (trades.filter(~late).unionByName(wrong), trades.filter(late), "account_id"),
-        "prices": (first, ticks.filter(again), "symbol"),
-        "cash": (cash.filter(~late), cash.filter(late), "account_id")}
+        name: _loads(market.messages(feed, feeds.FEEDS[name].message, key, "load"), name, 2)
+        for name, feed, key in (("trades", trades, "account_id"), ("prices", ticks, "symbol"),
+                                ("cash", cash, "account_id"))}
 
     def land(turn: int) -> None:
-        for name, (*turns, key) in loads.items():
-            _replayed(spark, name, market.messages(
-                turns[turn], feeds.FEEDS[name].message, key), root=root)
+        for name, turns in loads.items():
+            _replay(spark, name, turns[turn], _landed(spark, name, root))
 
     land(0)
     since = delta.marks(spark, root)
-    built = pipeline.run(spark, load_raw(spark, root), scratch_dir(spark, "models"))
+    early = delta.loaded(spark, root)
+    built = pipeline.run(spark, early, scratch_dir(spark, "models"))
     land(1)
     landing.compact(spark, f"{root}/raw_trades", RAW_TRADES)
     return delta.rebuild(spark, root, delta.tables(built), since)
@@ -773,14 +850,17 @@ def stream_keyed_insert(spark, sf_dir):
 def stream_two_backfills_keyed(spark, sf_dir):
     """The second copies come first, under a checkpoint of their own."""
     once = trade_messages(spark, sf_dir)
-    again = once.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 SECOND"))
-    return _verdicts(spark, _replayed(spark, "trades", again, once))
+    copies = F.array(*[F.struct(_later(seconds).alias("timestamp"), F.lit(load).alias("load"))
+                       for load, seconds in enumerate((1, 0))])
+    messages = once.withColumn("copy", F.explode(copies)).withColumns(
+        {"timestamp": F.col("copy.timestamp"), "load": F.col("copy.load")}).drop("copy")
+    return _verdicts(spark, _replayed_loads(spark, "trades", messages, 2))
 
 
 @query()
 def stream_quarantine(spark, sf_dir):
     """Messages refused by the trade feed: cut off in transit, or with a misspelt side."""
-    feed = _spread(market.trade_feed(spark, sf_dir))
+    feed = market.trade_feed(spark, sf_dir)
     sent = market.messages(feed.withColumn("key_", F.when(F.col("l_tax") == 0, "cut")
                                            .otherwise("whole")),
                            feeds.FEEDS["trades"].message, "key_")
