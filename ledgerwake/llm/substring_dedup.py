@@ -125,8 +125,9 @@ def repeated(found: DataFrame) -> DataFrame:
             yield _complete(pd.concat(held))
 
     dealt = F.when(F.col("weight") == 0, F.xxhash64("row", "start")).otherwise(F.lit(0))
-    ranged = found.withColumn("salt", dealt).repartition(
-        partitions(found.sparkSession), "run", "salt").sortWithinPartitions("run")
+    # What rows are dealt by does not travel with them.
+    ranged = found.repartition(
+        partitions(found.sparkSession), "run", dealt).sortWithinPartitions("run")
     return ranged.select("run", "content", "row", "start", "weight").mapInPandas(
         runs, "run bigint, content bigint, row bigint, start int")
 
