@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Iterable
-from functools import wraps
+from functools import partial, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,9 +31,10 @@ from ledgerwake.plans import (
 )
 from ledgerwake.plans.checks import CHECKS
 from ledgerwake.schemas import LONG, RAW_PRICES, RAW_TRADES, SIDES, record
+from ledgerwake.session import TIDY, settings
 from ledgerwake.sources import files, landing, market
 from ledgerwake.sources.raw import as_raw, create_raw_tables, load_raw
-from ledgerwake.sources.scratch import scratch_dir, staged
+from ledgerwake.sources.scratch import scratch_dir, staged, unstage
 from ledgerwake.streaming import feeds, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +58,10 @@ def query(money: Iterable[str] = (), ratio: Iterable[str] = ()):
     def register(fn: Query) -> Query:
         @wraps(fn)
         def comparable(spark: SparkSession, sf_dir: str) -> DataFrame:
-            df = fn(spark, sf_dir).drop(*AUDIT)
-            return rounded(rounded(df, MONEY, money), RATIO, ratio)
+            with settings(spark, TIDY):
+                df = fn(spark, sf_dir)
+            # A frame of its own: its shuffle files stay for whoever runs it more than once.
+            return rounded(rounded(df.drop(*AUDIT).select("*"), MONEY, money), RATIO, ratio)
 
         QUERIES[fn.__name__] = comparable
         return fn
@@ -560,17 +563,9 @@ def _recorded(messages: DataFrame, name: str, by: str | None = None) -> str:
     spark = messages.sparkSession
     path = scratch_dir(spark, f"messages-{name}")
     writer = messages.write.option("compression", "zstd")
-    if by is None:
-        writer.parquet(path)
-        return path
     # One open file for each value instead of a sort of whole messages by it.
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "16")
-    try:
-        writer.partitionBy(by).parquet(path)
-    finally:
-        spark.conf.set(setting, before)
+    with settings(spark, landing.STORED | {"spark.sql.maxConcurrentOutputFileWriters": "16"}):
+        (writer if by is None else writer.partitionBy(by)).parquet(path)
     return path
 
 
@@ -602,25 +597,34 @@ def _landed(spark: SparkSession, name: str, root: str | None = None) -> str:
 
 def _replayed(
     spark: SparkSession, name: str, messages: DataFrame, batches: int | None = None,
-    root: str | None = None,
+    sent: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """Run a feed over recorded messages until they are used up; return its folder.
 
-    With ``batches`` a message and its copies go to one of so many groups of files, as their key
-    and offset have it, and as many files are replayed at a time as there are to each group.
+    ``sent`` makes of the recorded messages what is delivered. With ``batches`` a message and its
+    copies go to one of so many groups of files, as their key and offset have it, and as many files
+    are replayed at a time as there are to each group.
     """
-    out = _landed(spark, name, root)
+    out = _landed(spark, name)
     if batches is None:
-        _replay(spark, name, {"path": _recorded(messages, name)}, out)
+        source = {"path": _recorded(messages, name), "sent": sent}
+        _replay(spark, name, source, out)
+        _forget(spark, source)
         return out
     batch = F.pmod(F.hash("key", "offset"), F.lit(batches))
     path = _recorded(messages.withColumn("batch", batch), name, "batch")
     found = len(files.matching(spark, f"{path}/batch=*/*.parquet"))
-    _replay(spark, name, {"path": f"{path}/batch=*",
+    _replay(spark, name, {"path": f"{path}/batch=*", "sent": sent,
                           "maxFilesPerTrigger": str(max(1, -(-found // batches)))}, out)
     return out
 
 
+def _forget(spark: SparkSession, source: dict) -> None:
+    """Delete recorded messages that have landed and are not sent again."""
+    for folder in files.matching(spark, source["path"]):
+        files.delete(spark, folder)
+
+
 def _loads(messages: DataFrame, name: str, n: int) -> list[dict]:
     """Record messages of ``n`` loads in one pass, by their column ``load``; the sources of each.
 
@@ -631,17 +635,25 @@ def _loads(messages: DataFrame, name: str, n: int) -> list[dict]:
 
 
 def _replayed_loads(
-    spark: SparkSession, name: str, messages: DataFrame, n: int, root: str | None = None,
-    compacted: int = 0,
+    spark: SparkSession, name: str, messages: DataFrame, n: int, compacted: int = 0,
+    sent: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> str:
     """Replay ``n`` loads one after the other, see :func:`_loads`.
 
     Each load has a checkpoint of its own and lands in the same place. After the first
-    ``compacted`` loads the log is compacted.
+    ``compacted`` loads the log is compacted. With ``sent``, messages are recorded once for all
+    loads, and it makes of them what a load delivers.
     """
-    out = _landed(spark, name, root)
-    for position, source in enumerate(_loads(messages, name, n)):
+    out = _landed(spark, name)
+    if sent is None:
+        sources = _loads(messages, name, n)
+    else:
+        path = _recorded(messages, name)
+        sources = [{"path": path, "sent": partial(sent, load=load)} for load in range(n)]
+    for position, source in enumerate(sources):
         _replay(spark, name, source, out)
+        if source["path"] not in [later["path"] for later in sources[position + 1:]]:
+            _forget(spark, source)
         if position < compacted:
             landing.compact(spark, out, feeds.FEEDS[name].table)
     return out
@@ -752,16 +764,22 @@ def raw_landing_mixed(spark, sf_dir):
     """
     root = scratch_dir(spark, "mixed")
     feed = staged(market.trade_feed(spark, sf_dir).drop("seq", "l_tax"), "trade-feed")
-    messages = _sent_trades(feed)
-    _replayed_loads(spark, "trades", _halves(messages), 2, root=root, compacted=1)
+    path = _recorded(_halves(_sent_trades(feed)), "trades", "load")
+    out = _landed(spark, "trades", root)
+    _replay(spark, "trades", {"path": f"{path}/load=[0]"}, out)
+    landing.compact(spark, out, RAW_TRADES)
+    _replay(spark, "trades", {"path": f"{path}/load=[1]"}, out)
     trades = as_raw(feed, RAW_TRADES)
     early = trades.filter("quantity < 20").withColumns(
         {"side": F.upper("side"), "event_version": F.lit("batch")})
     _insert_trades(spark, root, early.filter("quantity < 10"))
-    _replayed(spark, "trades", _twice(messages), root=root)
+    again = {"path": f"{path}/load=*", "sent": _twice}
+    _replay(spark, "trades", again, out)
+    _forget(spark, again)
     _insert_trades(spark, root, early.filter("quantity >= 10"))
     return load_raw(spark, root)["raw_trades"]
 
+    unstage(feed)
 
 def _updated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Models built of early messages, and updated when the late ones are there.

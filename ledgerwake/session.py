@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. The partition count is a ceiling that AQE coalesces from, so it
@@ -20,6 +23,22 @@ SQL_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Shuffle files of a job are deleted when it ends, not when the JVM finds that nothing refers to them.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Run with other SQL settings, and put back what was there before."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def build_session(
     app_name: str = "ledgerwake",

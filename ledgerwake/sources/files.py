@@ -34,6 +34,12 @@ def delete(spark: SparkSession, path: str) -> None:
     store.delete(where, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    store, where = _at(spark, path)
+    return store.getContentSummary(where).getLength()
+
+
 def modified(spark: SparkSession, path: str) -> int:
     store, where = _at(spark, path)
     return store.getFileStatus(where).getModificationTime()

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from ledgerwake.operators.writes import key_states, merge_states, resolve_upserts, tag_new
 from ledgerwake.schemas import INTEGER, LONG, STRING, ZONED, RawTable, record
+from ledgerwake.session import settings
 from ledgerwake.sources import files
 
 # Folder names a stream sorts rows into.
@@ -50,6 +51,9 @@ PLACES = record(kafka_timestamp=ZONED, partition=INTEGER, offset=LONG)
 REFUSED = record(partition=INTEGER, offset=LONG, kafka_timestamp=ZONED, payload=STRING,
                  violation=STRING)
 DATABASE = "ledgerwake_bases"
+# Instants in 64 bits instead of 96, and one open file for each verdict instead of a sort by it.
+STORED = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+          "spark.sql.maxConcurrentOutputFileWriters": "2"}
 # Rows a bucket of the base should hold, and segments of refused messages before they are merged.
 BUCKET_ROWS = 2_000_000
 BAD_SEGMENTS = 16
@@ -103,7 +107,9 @@ def write_batch(batch: DataFrame, folder: str, number: int) -> None:
     """Land one micro-batch; nothing happens if it has landed before."""
     spark, path = batch.sparkSession, f"{folder}/batch={number:012d}"
     if not files.exists(spark, f"{path}/_SUCCESS"):
-        batch.write.mode("overwrite").partitionBy("verdict").parquet(path)
+        with settings(spark, STORED):
+            batch.write.mode("overwrite").option("compression", "zstd").partitionBy(
+                "verdict").parquet(path)
 
 
 def manifest(spark: SparkSession, path: str) -> Manifest:
@@ -208,12 +214,39 @@ def _states(spark: SparkSession, path: str, table: RawTable, known: Manifest,
 def resolved(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
     """One row for each key: of its first row, but the newest ``overwritten`` columns."""
     known = manifest(spark, path)
-    rows = _rows(spark, path, table, _tail(spark, path, known))
+    tail = _tail(spark, path, known)
+    rows = _rows(spark, path, table, tail)
     if known.base is None:
         return resolve_upserts(rows, table.key, ORDER, table.overwritten).select(*table.columns)
+    if _is_base(spark, path, table, known, tail):
+        return base_table(spark, known, table).select(*table.columns)
+    if not table.overwritten and _outweighs(spark, path, known, tail):
+        # Both are dealt out by key once, instead of the tail twice. At one place the base counts.
+        whole = base_table(spark, known, table).withColumn("_new", F.lit(False)).unionByName(
+            rows.withColumn("_new", F.lit(True)))
+        return resolve_upserts(whole, table.key, [*ORDER, "_new"], ()).select(*table.columns)
     return _states(spark, path, table, known, rows).select(*table.columns)
 
 
+def is_base(spark: SparkSession, path: str, table: RawTable) -> bool:
+    """Whether the base holds all there is, so that a reader has nothing to resolve."""
+    known = manifest(spark, path)
+    return _is_base(spark, path, table, known, _tail(spark, path, known))
+
+
+def _is_base(spark: SparkSession, path: str, table: RawTable, known: Manifest,
+             tail: list[Batch]) -> bool:
+    return known.base is not None and inserted(spark, path, table) is None and not any(
+        OK in b.verdicts for b in tail)
+
+
+def _outweighs(spark: SparkSession, path: str, known: Manifest, tail: list[Batch]) -> bool:
+    """Whether there is much more to resolve than the base holds."""
+    fresh = [f"{b.path}/verdict={OK}" for b in tail if OK in b.verdicts]
+    fresh += [path] if files.exists(spark, path) else []
+    return sum(files.size(spark, place) for place in fresh) > 2 * files.size(spark, known.base)
+
+
 def log(spark: SparkSession, path: str) -> DataFrame | None:
     """All rows of the batches not yet folded, good and bad, or None if there are none."""
     tail = [b.path for b in _tail(spark, path, manifest(spark, path)) if b.verdicts]

@@ -47,8 +47,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _account() -> Column:
-    return F.concat(F.lit("ACC00"), F.col("o_custkey") % 5)
+def _account(share: Column) -> Column:
+    return F.concat(F.lit("ACC00"), share)
+
+
+def _share() -> Column:
+    """Which of the accounts a customer's orders go to."""
+    return F.col("o_custkey") % 5
 
 
 def _line_id() -> Column:
@@ -82,20 +87,23 @@ def trade_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades as they arrive: raw columns plus the ``seq`` that orders arrival.
 
     Both joins look up by a key of the smaller table. They are hashed, so that line items, the
-    widest and longest input, are dealt out but never sorted.
+    widest and longest input, are dealt out but never sorted. What a column of one table stands
+    for is taken before the joins, where it is shorter than the column.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").hint("shuffle_hash")
-    parts = table(spark, sf_dir, "part").hint("shuffle_hash")
     side = F.when(F.col("l_returnflag") == "R", "sell").otherwise("buy")
+    side = F.when(F.col("l_linestatus") == "O", side).otherwise(F.upper(side))
+    lines = table(spark, sf_dir, "lineitem").withColumn("side", side)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", _share().alias("share")).hint("shuffle_hash")
+    parts = table(spark, sf_dir, "part").hint("shuffle_hash")
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.concat(F.lit("TRD_"), _line_id()).alias("trade_id"),
-            _account().alias("account_id"),
+            _account(F.col("share")).alias("account_id"),
             F.col("p_type").alias("symbol"),
-            F.when(F.col("l_linestatus") == "O", side).otherwise(F.upper(side)).alias("side"),
+            "side",
             F.col("l_quantity").alias("quantity"),
             _unit_price().alias("price"),
             _traded_at().alias("timestamp"),
@@ -132,7 +140,7 @@ def cash_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("CASH_"), F.col("o_orderkey")).alias("event_id"),
-        _account().alias("account_id"),
+        _account(_share()).alias("account_id"),
         F.col("o_totalprice").alias("amount"),
         kind.alias("type"),
         F.col("o_orderdate").alias("timestamp"),

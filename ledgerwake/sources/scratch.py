@@ -72,5 +72,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and go on from the written table."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the tables that :func:`staged` wrote for ``df``, which nothing reads any more.
+
+    Other tables that it reads stay.
+    """
+    spark = df.sparkSession
+    given = _given.get(spark.sparkContext.applicationId, [])
+    read = {name.rsplit("/", 2)[1] for name in df.inputFiles()}
+    for path in [p for p in given if p.rsplit("/", 1)[1] in read]:
+        files.delete(spark, path)
+        given.remove(path)

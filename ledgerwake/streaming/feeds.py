@@ -29,19 +29,21 @@ class Feed:
 
 
 def read_events(
-    spark: SparkSession, topic: str, fmt: str = "kafka", path: str | None = None, **options: str
+    spark: SparkSession, topic: str, fmt: str = "kafka", path: str | None = None,
+    sent: Callable[[DataFrame], DataFrame] | None = None, **options: str,
 ) -> DataFrame:
     """Stream of broker envelopes.
 
     ``kafka`` subscribes to the topic from its beginning and tolerates aged-out offsets
     unless ``failOnDataLoss`` says otherwise; ``maxOffsetsPerTrigger`` bounds a batch. Any
     file format replays recorded envelopes from ``path`` with the same columns, in batches of
-    ``maxFilesPerTrigger`` files.
+    ``maxFilesPerTrigger`` files; ``sent`` makes of them what the broker delivers, say, each twice.
     """
     if fmt == "kafka":
         settings = {"subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false"}
         return spark.readStream.format("kafka").options(**{**settings, **options}).load()
-    return spark.readStream.format(fmt).schema(S.ENVELOPE).options(**options).load(path)
+    recorded = spark.readStream.format(fmt).schema(S.ENVELOPE).options(**options).load(path)
+    return recorded if sent is None else sent(recorded)
 
 
 def decode_json(df: DataFrame, message: T.StructType) -> DataFrame:
