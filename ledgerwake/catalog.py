@@ -721,7 +721,7 @@ def stream_two_backfills_trades(spark, sf_dir):
 @query()
 def stream_dedup(spark, sf_dir):
     """Every trade message delivered twice, in several batches, read once."""
-    out = _replayed(spark, "trades", _twice(trade_messages(spark, sf_dir)), batches=3)
+    out = _replayed(spark, "trades", trade_messages(spark, sf_dir), batches=3, sent=_twice)
     return landing.resolved(spark, out, feeds.FEEDS["trades"].table)
 
 
@@ -861,18 +861,18 @@ def _verdicts(spark: SparkSession, out: str) -> DataFrame:
 @query()
 def stream_keyed_insert(spark, sf_dir):
     """Every trade message delivered twice; the second copies are set aside, not lost."""
-    return _verdicts(spark, _replayed(spark, "trades", _twice(trade_messages(spark, sf_dir))))
+    return _verdicts(
+        spark, _replayed(spark, "trades", trade_messages(spark, sf_dir), sent=_twice))
 
 
 @query()
 def stream_two_backfills_keyed(spark, sf_dir):
     """The second copies come first, under a checkpoint of their own."""
-    once = trade_messages(spark, sf_dir)
-    copies = F.array(*[F.struct(_later(seconds).alias("timestamp"), F.lit(load).alias("load"))
-                       for load, seconds in enumerate((1, 0))])
-    messages = once.withColumn("copy", F.explode(copies)).withColumns(
-        {"timestamp": F.col("copy.timestamp"), "load": F.col("copy.load")}).drop("copy")
-    return _verdicts(spark, _replayed_loads(spark, "trades", messages, 2))
+    def sent(messages: DataFrame, load: int) -> DataFrame:
+        return messages if load else messages.withColumn("timestamp", _later(1))
+
+    return _verdicts(
+        spark, _replayed_loads(spark, "trades", trade_messages(spark, sf_dir), 2, sent=sent))
 
 
 @query()
