@@ -735,16 +735,18 @@ def stream_compacted_trades(spark, sf_dir):
 
     The last load repeats keys of the base with earlier broker times, too.
     """
-    def sent(load: Column, seconds: int) -> Column:
+    def copy(load: Column, seconds: int) -> Column:
         return F.struct(_later(seconds).alias("timestamp"), load.cast("int").alias("load"))
 
-    once = _thirds(trade_messages(spark, sf_dir))
-    early = F.when(F.col("partition") % 2 == 0, F.lit(2))
-    copies = F.array(sent(F.col("load"), 0), sent(F.col("load"), 1), sent(early, -1))
-    messages = once.withColumn("copy", F.explode(copies)).withColumns(
-        {"timestamp": F.col("copy.timestamp"), "load": F.col("copy.load")})
+    def sent(messages: DataFrame, load: int) -> DataFrame:
+        early = F.when(F.col("partition") % 2 == 0, F.lit(2))
+        copies = F.array(copy(F.col("load"), 0), copy(F.col("load"), 1), copy(early, -1))
+        each = _thirds(messages).withColumn("copy", F.explode(copies))
+        return each.filter(F.col("copy.load") == load).withColumn(
+            "timestamp", F.col("copy.timestamp")).drop("copy", "load")
+
     out = _replayed_loads(
-        spark, "trades", messages.drop("copy").filter("load IS NOT NULL"), 3, compacted=2)
+        spark, "trades", trade_messages(spark, sf_dir), 3, compacted=2, sent=sent)
     return landing.resolved(spark, out, feeds.FEEDS["trades"].table)
 
 

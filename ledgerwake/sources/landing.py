@@ -363,11 +363,11 @@ def compact(spark: SparkSession, path: str, table: RawTable,
     base, buckets, total = known.base, known.buckets, known.rows
     if rows is not None:
         total += sum(counts.values())  # at most: of copies one stays
-        buckets = max(known.buckets, -(-total // bucket_rows))
+        # Doubled, so that a growing base is seldom dealt out anew.
+        while buckets * bucket_rows < total:
+            buckets *= 2
         base = f"{path}{LOG}/base-{made}"
-        total = _write_base(
-            _states(spark, path, table, known, rows), base, table, buckets,
-            even=buckets == known.buckets and known.base is not None)
+        total = _write_base(spark, path, table, known, rows, base, buckets)
     folded = dict(known.folded)
     for b in tail:
         last, had = folded.get(b.run, [-1, 0])
@@ -385,13 +385,23 @@ def compact(spark: SparkSession, path: str, table: RawTable,
     return new
 
 
-def _write_base(states: DataFrame, base: str, table: RawTable, buckets: int, even: bool) -> int:
-    """Write states as buckets and return their number; ``even`` ones need no shuffle for it."""
-    spark = states.sparkSession
+def _write_base(spark: SparkSession, path: str, table: RawTable, known: Manifest,
+                rows: DataFrame, base: str, buckets: int) -> int:
+    """Write the states of the base before and ``rows`` as buckets and return their number.
+
+    The shuffle that brings the rows of a key together has as many partitions as there are buckets,
+    so rows are dealt out once, and a base that does not grow is not dealt out at all.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
-    dealt = states if even else states.repartition(buckets, *table.key)
-    dealt.write.format("parquet").bucketBy(buckets, *table.key).sortBy(*table.key).option(
-        "path", base).saveAsTable(_base_name(base))
+    fresh = key_states(rows, table.key, ORDER, table.overwritten)
+    before = base_table(spark, known, table)
+    states = fresh if before is None else merge_states(
+        before, fresh, table.key, ORDER, table.overwritten)
+    with settings(spark, {**STORED, "spark.sql.shuffle.partitions": str(buckets),
+                          "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        states.write.format("parquet").option("compression", "zstd").bucketBy(
+            buckets, *table.key).sortBy(*table.key).option("path", base).saveAsTable(
+            _base_name(base))
     return spark.table(_base_name(base)).count()
 
 
