@@ -779,9 +779,9 @@ def raw_landing_mixed(spark, sf_dir):
     _replay(spark, "trades", again, out)
     _forget(spark, again)
     _insert_trades(spark, root, early.filter("quantity >= 10"))
+    unstage(feed)
     return load_raw(spark, root)["raw_trades"]
 
-    unstage(feed)
 
 def _updated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Models built of early messages, and updated when the late ones are there.
@@ -828,11 +828,13 @@ def _updated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def land(turn: int) -> None:
         for name, turns in loads.items():
             _replay(spark, name, turns[turn], _landed(spark, name, root))
+            _forget(spark, turns[turn])
 
     land(0)
     since = delta.marks(spark, root)
     early = delta.loaded(spark, root)
     built = pipeline.run(spark, early, scratch_dir(spark, "models"))
+    unstage(early["raw_trades"])
     land(1)
     landing.compact(spark, f"{root}/raw_trades", RAW_TRADES)
     return delta.rebuild(spark, root, delta.tables(built), since)

@@ -27,7 +27,7 @@ from ledgerwake.operators.joins import mark_to_market
 from ledgerwake.operators.sets import union_all
 from ledgerwake.operators.windows import running, timeline
 from ledgerwake.plans import dimensions, facts, intermediate, pipeline, staging
-from ledgerwake.schemas import RAW_TABLES
+from ledgerwake.schemas import RAW_TABLES, RAW_TRADES
 from ledgerwake.sources import landing
 from ledgerwake.sources.raw import load_raw
 from ledgerwake.sources.scratch import staged
@@ -114,6 +114,7 @@ def update(
     trades = staging.stg_trades(changed["raw_trades"])
     ticks = staging.stg_prices(changed["raw_prices"])
     cash = staging.stg_cash_events(changed["raw_cash_events"])
+    # From here on only the groups are read: the changed rows are brought together once.
     groups = staged(trades.select(*GROUP).distinct(), "touched-groups")
     closes_touched = staged(ticks.select("symbol", "price_date").distinct(), "touched-closes")
     cash_touched = staged(cash.select("account_id", "cash_date").distinct(), "touched-cash")
@@ -183,13 +184,11 @@ def update(
         before["fact_pnl_daily"].withColumn("value_date", F.col("pnl_date")), pair, traded).drop(
         "value_date").unionByName(facts.pnl_of(held.drop("value_date"), closes)))
 
-    # Trades by key, and the dimensions with whatever is new.
-    ids = staged(changed["raw_trades"].select("trade_id").distinct(), "changed-trades")
-    stg = staging.stg_trades(among(raw["raw_trades"], ["trade_id"], ids))
-    keep("fact_trades", outside(before["fact_trades"], ["trade_id"], ids).unionByName(
-        facts.fact_trades(stg)))
-    for name, column, sources in (("dim_account", "account_id", (trades, cash)),
-                                  ("dim_symbol", "symbol", (trades, ticks))):
+    # A row of a trade holds nothing but the trade: read once, and nothing has to be matched by key.
+    keep("fact_trades", facts.fact_trades(staging.stg_trades(raw["raw_trades"])))
+    # The dimensions with whatever is new.
+    for name, column, sources in (("dim_account", "account_id", (groups, cash_touched)),
+                                  ("dim_symbol", "symbol", (groups, closes_touched))):
         known = before[name].select(column)
         seen = union_all([df.select(column) for df in sources]).distinct()
         fresh = seen.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
@@ -207,6 +206,8 @@ def rebuild(spark: SparkSession, root: str, before: Mapping[str, DataFrame],
 def loaded(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The landing tables under ``root``; trades, which several models read, resolved once."""
     raw = load_raw(spark, root)
+    if landing.is_base(spark, f"{root}/raw_trades", RAW_TRADES):
+        return raw
     return raw | {"raw_trades": staged(raw["raw_trades"], "raw-trades")}
 
 

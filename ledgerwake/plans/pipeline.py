@@ -141,7 +141,7 @@ def materialize(
     path = f"{root}/{name}/build-{uuid.uuid4().hex}"
     columns = list(partition_by)
     writer = df.hint("rebalance", *columns).write.partitionBy(*columns) if columns else df.write
-    writer.parquet(path)
+    writer.option("compression", "zstd").parquet(path)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{path}`")
