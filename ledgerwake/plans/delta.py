@@ -4,8 +4,8 @@ A build remembers how far it has read (:func:`ledgerwake.sources.landing.mark`).
 landed behind that mark follow the keys that are new or changed, and from these the (entity, day)
 groups and the accounts they touch:
 
-* totals of touched groups are taken again from the raw tables, which are read once, within the
-  days concerned, and never shuffled beyond these groups;
+* trades and totals of touched groups are taken again from the raw tables, which are read within
+  the days concerned and never shuffled beyond these groups;
 * running positions and balances are recomputed from the first touched day of an entity on. What
   came before is carried in as one row that holds the running total so far;
 * value and PnL are recomputed for the (account, day) pairs that any of this, or a changed close,
@@ -125,9 +125,14 @@ def update(
         return new[name]
 
     # Totals by group and day.
-    stg = staging.stg_trades(_within(raw["raw_trades"], "timestamp", "trade_date", groups))
+    own = among(
+        staging.stg_trades(_within(raw["raw_trades"], "timestamp", "trade_date", groups)),
+        GROUP, groups)
     days = keep("int_trade_days", outside(before["int_trade_days"], GROUP, groups).unionByName(
-        intermediate.int_trade_days(among(stg, GROUP, groups))))
+        intermediate.int_trade_days(own)))
+    # All versions of a changed trade lie in touched groups: it is found by these, which are few.
+    keep("fact_trades", outside(before["fact_trades"], GROUP, groups).unionByName(
+        facts.fact_trades(own)))
     tick = ["symbol", "price_date"]
     stg = staging.stg_prices(
         _within(raw["raw_prices"], "timestamp", "price_date", closes_touched))
@@ -169,23 +174,21 @@ def update(
         "account_id", F.col("cash_date").alias("value_date"))).unionByName(cash_touched.select(
             "account_id", F.col("cash_date").alias("value_date"))).distinct(), "touched-values")
     pair = ["account_id", "value_date"]
-    own = positions.drop("calculated_at").withColumn("value_date", F.col("position_date"))
+    held = positions.drop("calculated_at").withColumn("value_date", F.col("position_date"))
     keep("fact_portfolio_value_daily", outside(
         before["fact_portfolio_value_daily"], pair, valued).unionByName(
         facts.fact_portfolio_value_daily(
-            among(own, pair, valued).drop("value_date"), closes,
+            among(held, pair, valued).drop("value_date"), closes,
             among(balances.withColumn("value_date", F.col("balance_date")), pair, valued).drop(
                 "value_date"))))
     totals = days.withColumnRenamed("trade_date", "position_date").drop("daily_change")
     matched = _same("l", "r", [*HOLDING, "position_date"])
-    held = among(own, pair, traded).alias("l").join(totals.alias("r"), matched).select(
+    held = among(held, pair, traded).alias("l").join(totals.alias("r"), matched).select(
         "l.*", *[F.col(f"r.{c}") for c in totals.columns if c not in (*HOLDING, "position_date")])
     keep("fact_pnl_daily", outside(
         before["fact_pnl_daily"].withColumn("value_date", F.col("pnl_date")), pair, traded).drop(
         "value_date").unionByName(facts.pnl_of(held.drop("value_date"), closes)))
 
-    # A row of a trade holds nothing but the trade: read once, and nothing has to be matched by key.
-    keep("fact_trades", facts.fact_trades(staging.stg_trades(raw["raw_trades"])))
     # The dimensions with whatever is new.
     for name, column, sources in (("dim_account", "account_id", (groups, cash_touched)),
                                   ("dim_symbol", "symbol", (groups, closes_touched))):
